@@ -202,13 +202,17 @@ def _alpha(span: int) -> float:
     return 2.0 / (span + 1.0)
 
 
-def _zero_after(span: int) -> int:
-    """Multiplications of 1.0 by (1-alpha) until it is exactly 0.0."""
+def _settle_steps(span: int) -> int:
+    """Multiplications of 1.0 by (1-alpha) until the product stops changing
+    (0.0, or the smallest subnormal when 1-alpha > 0.5).  A gap longer than
+    this leaves the same ewm state, so it can be replayed at this length."""
     f, w, k = 1.0 - _alpha(span), 1.0, 0
-    while w > 0.0:
-        w *= f
+    while True:
+        nxt = w * f
         k += 1
-    return k
+        if nxt == w:
+            return k
+        w = nxt
 
 
 def _ewm(values: np.ndarray, span: int) -> np.ndarray:
@@ -291,12 +295,12 @@ def ema(df: DataFrame, keys: list[str], col: str, span: int, out: str,
     carry_schema = T.StructType([base.schema[k] for k in gkeys] + [
         T.StructField("__yin", T.DoubleType()), T.StructField("__gin", T.LongType())])
     carry = summaries.groupBy(*keys).applyInPandas(fold, carry_schema).withColumn(_K, _key(keys))
-    zero = _zero_after(span)
+    settle = _settle_steps(span)
 
     def finish(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, x = _sorted_x(pdf, col)
         y_in, g_in = pdf["__yin"].iloc[0], pdf["__gin"].iloc[0]
-        prefix = [] if pd.isna(y_in) else [float(y_in)] + [np.nan] * int(min(g_in, zero))
+        prefix = [] if pd.isna(y_in) else [float(y_in)] + [np.nan] * int(min(g_in, settle))
         res = _ewm(np.concatenate([prefix, x]), span)[len(prefix):]
         return pdf[cols].assign(**{out: res})
 

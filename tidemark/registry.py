@@ -5,7 +5,8 @@ Series come from ``tidemark.sources.derived`` (SURVEY §7.3):
 U = events per (user_id, event_type, day), E = events per (event_type, day),
 O = orders per (o_orderpriority, day), L = lineitem per (l_returnflag, day).
 Values are rounded identically on both sides (2 places for money series,
-4 for event values): engines sum in different orders.
+4 for event values; 3 where an average of 2 or 30 cent values can end in an
+exact half cent): engines sum in different orders.
 """
 
 from __future__ import annotations
@@ -144,11 +145,11 @@ _SERIES = {
 _ROLL_SQL = {"sma": "AVG", "sum": "SUM", "max": "MAX", "min": "MIN"}
 
 
-def rolling_sql(series: str, agg: str, n: int) -> str:
+def rolling_sql(series: str, agg: str, n: int, places: int = 2) -> str:
     _, _, key, src = _SERIES[series]
     x = fin("value")
     return (f"WITH s AS ({src}), x AS (SELECT {key}, obs_time, {x} AS fx FROM s) "
-            f"SELECT {key}, obs_time, ROUND(CASE WHEN COUNT(fx) OVER w = {n} THEN {_ROLL_SQL[agg]}(fx) OVER w END, 2) "
+            f"SELECT {key}, obs_time, ROUND(CASE WHEN COUNT(fx) OVER w = {n} THEN {_ROLL_SQL[agg]}(fx) OVER w END, {places}) "
             f"AS value FROM x WINDOW w AS (PARTITION BY {key} ORDER BY obs_time, fx "
             f"ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)")
 
@@ -164,7 +165,7 @@ def _window_q(series: str, op: str, n: int, places: int = 2):
 
 for _agg in _ROLL_SQL:
     register(f"{_agg}_7", rolling_sql("O", _agg, 7))(_window_q("O", _agg, 7))
-    register(f"{_agg}_30", rolling_sql("L", _agg, 30))(_window_q("L", _agg, 30))
+    register(f"{_agg}_30", rolling_sql("L", _agg, 30, 3))(_window_q("L", _agg, 30, 3))
 
 
 # ------------------------------------------------------------- W2: ema ---
@@ -245,12 +246,12 @@ def growth_30d(spark, sf):
           "FROM s a ASOF LEFT JOIN s b ON a.o_orderpriority = b.o_orderpriority "
           "AND a.obs_time - INTERVAL 1 DAY >= b.obs_time), "
           f"x AS (SELECT o_orderpriority, obs_time, {fin('lv')} AS fx FROM l) "
-          "SELECT o_orderpriority, obs_time, ROUND(CASE WHEN COUNT(fx) OVER w = 2 THEN AVG(fx) OVER w END, 2) "
+          "SELECT o_orderpriority, obs_time, ROUND(CASE WHEN COUNT(fx) OVER w = 2 THEN AVG(fx) OVER w END, 3) "
           "AS value FROM x WINDOW w AS (PARTITION BY o_orderpriority ORDER BY obs_time "
           "ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)")
 def sma_of_lag(spark, sf):
     e = {"op": "sma", "series": {"op": "lag", "series": leaf("orders_total"), "window": 1}, "window": 2}
-    return rounded(evaluate(e, "window_op", D.order_priorities(spark, sf)), 2)
+    return rounded(evaluate(e, "window_op", D.order_priorities(spark, sf)), 3)
 
 
 @register("avg_plus_series",
