@@ -292,3 +292,7 @@ def flagship_sma_ratio(spark, sf):
     """Daily purchase value / view value over all users, 7-row sma (E)."""
     e = {"op": "sma", "series": {"op": "ratio", "left": leaf("purchase"), "right": leaf("view")}, "window": 7}
     return rounded(evaluate(e, "window_op", D.event_types(spark, sf)), 4)
+
+
+# run-data queries register themselves on import
+from tidemark import registry_runs as _runs  # noqa: E402,F401

@@ -86,7 +86,8 @@ def write_manifest(manifest: DataFrame, path: str) -> None:
     manifest.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def series_result(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Sorted output rows (O1): range-partitioned by key/time, no single task."""
-    return df.select(*keys, OBS_TIME, VALUE).repartitionByRange(*keys, OBS_TIME) \
-        .sortWithinPartitions(*keys, OBS_TIME) if keys or True else df
+def sorted_result(df: DataFrame, keys: list[str]) -> DataFrame:
+    """O1: output rows ordered by key and time — range-partitioned (a hot
+    key spans many tasks) and sorted within partitions, no global sort task."""
+    return (df.select(*keys, OBS_TIME, VALUE).repartitionByRange(*keys, OBS_TIME)
+            .sortWithinPartitions(*keys, OBS_TIME))
