@@ -3,7 +3,7 @@
 Every op keeps the rows of its input and adds one column.  Rows are ordered
 per key by ``obs_time`` (nulls last), ties by the op's input value.
 
-Two physical strategies:
+Physical strategies (``auto`` picks one per evaluation):
 
 ``partition``
     plain ``Window.partitionBy(keys)``: one shuffle, but each series lives in
@@ -26,6 +26,11 @@ Two physical strategies:
       bucket folded from per-bucket affine summaries.
 
 No step puts a whole series into one task or onto the driver.
+
+``auto`` (default) runs one small aggregate — the largest number of panel
+rows under one key — and uses ``partition`` when that is within
+``chunk_rows`` (every series fits a task with room to spare), else
+``chunked``.  Same idea as a size-checked broadcast.
 """
 
 from __future__ import annotations
@@ -51,7 +56,7 @@ _DAY_US = 86_400_000_000
 
 @dataclass(frozen=True)
 class WindowPlan:
-    strategy: str = "chunked"
+    strategy: str = "auto"
     chunk_rows: int = 1_000_000
 
     @classmethod
@@ -59,9 +64,18 @@ class WindowPlan:
         spark = spark or SparkSession.getActiveSession()
         if spark is None:
             return cls()
-        return cls(spark.conf.get("spark.tidemark.window.strategy", "chunked"),
+        return cls(spark.conf.get("spark.tidemark.window.strategy", "auto"),
                    int(spark.conf.get("spark.tidemark.window.chunkRows", "1000000")))
 
+    def resolve(self, panel_df: DataFrame, keys: list[str]) -> "WindowPlan":
+        """Concrete strategy for a panel: ``partition`` only when no key
+        holds more than ``chunk_rows`` rows (any derived frame holds at most
+        its key's panel rows)."""
+        if self.strategy != "auto":
+            return self
+        biggest = (panel_df.groupBy(*keys).count().agg(F.max("count")).collect()[0][0]) or 0
+        return WindowPlan("partition" if biggest <= self.chunk_rows else "chunked", self.chunk_rows)
+
 
 def _t_us(c: str = OBS_TIME) -> Column:
     return F.unix_micros(F.col(c).cast("timestamp"))

@@ -44,6 +44,7 @@ class Compiler:
         self.keys = list(panel.keys)
         self.plan = plan or W.WindowPlan.from_session(panel.df.sparkSession)
         self._memo: dict[str, Val] = {}
+        self._aligned: dict[tuple, Frame] = {}
         self._n = 0
 
     def _fresh(self) -> str:
@@ -79,6 +80,10 @@ class Compiler:
         if all(f.unique for f in frames):
             if len(frames) == 1:
                 return frames[0], [F.col(v.col) for v in vals]
+            names = list(dict.fromkeys(v.col for v in vals))
+            key = (frozenset(id(f) for f in frames), tuple(sorted(names)))
+            if key in self._aligned:  # same frames, same columns: align once
+                return self._aligned[key], [F.col(v.col) for v in vals]
             on = [*self.keys, OBS_TIME]
             parts = []
             for f in frames:
@@ -87,9 +92,9 @@ class Compiler:
             u = parts[0]
             for p in parts[1:]:
                 u = u.unionByName(p, allowMissingColumns=True)
-            names = list(dict.fromkeys(v.col for v in vals))
-            aligned = u.groupBy(*on).agg(*[F.max(c).alias(c) for c in names])
-            return Frame(aligned, True), [F.col(v.col) for v in vals]
+            aligned = Frame(u.groupBy(*on).agg(*[F.max(c).alias(c) for c in names]), True)
+            self._aligned[key] = aligned
+            return aligned, [F.col(v.col) for v in vals]
         aligned = align([(v.frame.df, v.col) for v in vals], self.keys, unique=False)
         return Frame(aligned, False), [F.col(slot(i)) for i in range(len(vals))]
 
@@ -108,6 +113,7 @@ class Compiler:
         n = X.check_window(node)
         src = self.operand(node.get("series"))
         frame, out = src.frame, self._fresh()
+        self.plan = self.plan.resolve(self.panel.df, self.keys)  # once, on first window op
         if op in W.ROLLING_AGGS:
             frame.df = W.rolling(frame.df, self.keys, src.col, n, op, out, self.plan)
         elif op == "ema":
@@ -126,9 +132,11 @@ class Compiler:
         frame.df = frame.df.withColumn(out, composite(op, cols))
         return Val(frame, out)
 
+    def compile_val(self, expression, expression_type) -> Val:
+        return self.node(X.parse(expression), X.check_type(expression_type))
+
     def compile(self, expression, expression_type) -> DataFrame:
-        t = X.check_type(expression_type)
-        v = self.node(X.parse(expression), t)
+        v = self.compile_val(expression, expression_type)
         return v.frame.df.select(*self.keys, OBS_TIME, F.col(v.col).alias(VALUE))
 
 

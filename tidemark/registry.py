@@ -24,6 +24,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def load_all() -> None:
+    """Import the modules whose queries register themselves."""
+    from tidemark import registry_io, registry_runs  # noqa: F401
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -293,6 +298,3 @@ def flagship_sma_ratio(spark, sf):
     e = {"op": "sma", "series": {"op": "ratio", "left": leaf("purchase"), "right": leaf("view")}, "window": 7}
     return rounded(evaluate(e, "window_op", D.event_types(spark, sf)), 4)
 
-
-# run-data queries register themselves on import
-from tidemark import registry_runs as _runs  # noqa: E402,F401
