@@ -57,7 +57,7 @@ def write_jsonl(df: DataFrame, path: str, partition_by: list[str] | None = None)
     obs = Observation("tidemark_rows")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = (out.write.mode("overwrite").option("ignoreNullFields", "false")
-         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"))
+         .option("timestampNTZFormat", ISO_FORMAT))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.json(path)
