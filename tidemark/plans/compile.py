@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.model import OBS_TIME, VALUE, SeriesPanel
+from tidemark.model import OBS_TIME, SERIES_CODE, VALUE, SeriesPanel
 from tidemark.operators import window as W
 from tidemark.operators.align import align, slot
 from tidemark.operators.arith import binary, scaled
@@ -33,9 +33,10 @@ class Frame:
 
 
 class Val:
-    def __init__(self, frame: Frame, col: str):
+    def __init__(self, frame: Frame, col: str, code: str | None = None):
         self.frame = frame
         self.col = col
+        self.code = code  # set for panel leaves
 
 
 class Compiler:
@@ -57,7 +58,7 @@ class Compiler:
         if key not in self._memo:
             c = self._fresh()
             self._memo[key] = Val(Frame(self.panel.leaf(code).withColumnRenamed(VALUE, c),
-                                        self.panel.unique), c)
+                                        self.panel.unique), c, code)
         return self._memo[key]
 
     def operand(self, operand) -> Val:
@@ -72,7 +73,22 @@ class Compiler:
         return self._memo[key]
 
     # -- alignment ------------------------------------------------------------
+    def _pivot_leaves(self, vals: list[Val]) -> tuple[Frame, list[Column]]:
+        """Leaves of one unique panel: a single scan with ``code IN (...)``
+        and one pivoting aggregate equal their full outer alignment."""
+        codes = sorted({v.code for v in vals})
+        key = ("pivot", tuple(codes))
+        if key not in self._aligned:
+            p = self.panel.df
+            self._aligned[key] = Frame(
+                p.where(F.col(SERIES_CODE).isin(codes)).groupBy(*self.keys, OBS_TIME).agg(
+                    *[F.max(F.when(F.col(SERIES_CODE) == c, F.col(VALUE))).alias(f"_p{i}")
+                      for i, c in enumerate(codes)]), True)
+        return self._aligned[key], [F.col(f"_p{codes.index(v.code)}") for v in vals]
+
     def _together(self, vals: list[Val]) -> tuple[Frame, list[Column]]:
+        if self.panel.unique and all(v.code for v in vals) and len({v.code for v in vals}) > 1:
+            return self._pivot_leaves(vals)
         frames = []
         for v in vals:
             if not any(v.frame is f for f in frames):
