@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.model import OBS_TIME, VALUE, SeriesPanel
+from tidemark.operators.window import WindowPlan
 from tidemark.plans.compile import evaluate
 from tidemark.sources import derived as D
 
@@ -298,3 +299,46 @@ def flagship_sma_ratio(spark, sf):
     e = {"op": "sma", "series": {"op": "ratio", "left": leaf("purchase"), "right": leaf("view")}, "window": 7}
     return rounded(evaluate(e, "window_op", D.event_types(spark, sf)), 4)
 
+
+
+# ------------------------------------- hot key: raw lineitem rows per flag ---
+# l_returnflag 'N' holds about half of all lineitem rows.  These run the
+# skew-safe chunked windows (small chunks, so a key spans many chunks) over
+# raw order lines: duplicate times, ties ordered by value.
+HOT_CHUNK = WindowPlan("chunked", 4096)
+LI_SQL = ("SELECT l_returnflag, CAST(l_shipdate AS TIMESTAMP) AS obs_time, l_extendedprice AS value "
+          "FROM lineitem")
+
+
+def lineitem_lines(spark, sf) -> SeriesPanel:
+    from tidemark.model import as_panel
+    return as_panel(D.table(spark, sf, "lineitem"), ["l_returnflag"], F.lit("line"), "l_shipdate",
+                    "l_extendedprice", unique=False)
+
+
+def _hot_q(op: str, n: int, places: int):
+    e = {"op": op, "series": leaf("line"), "window": n}
+
+    def q(spark, sf):
+        return rounded(evaluate(e, "window_op", lineitem_lines(spark, sf), plan=HOT_CHUNK), places)
+    return q
+
+
+register("hot_key_sum_30",
+         f"WITH s AS ({LI_SQL}) SELECT l_returnflag, obs_time, ROUND(CASE WHEN COUNT(value) OVER w = 30 "
+         "THEN SUM(value) OVER w END, 2) AS value FROM s WINDOW w AS (PARTITION BY l_returnflag "
+         "ORDER BY obs_time, value ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)")(_hot_q("sum", 30, 2))
+register("hot_key_max_100",
+         f"WITH s AS ({LI_SQL}) SELECT l_returnflag, obs_time, ROUND(CASE WHEN COUNT(value) OVER w = 100 "
+         "THEN MAX(value) OVER w END, 2) AS value FROM s WINDOW w AS (PARTITION BY l_returnflag "
+         "ORDER BY obs_time, value ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)")(_hot_q("max", 100, 2))
+register("hot_key_shift_3",
+         f"WITH s AS ({LI_SQL}) SELECT l_returnflag, obs_time, ROUND(LAG(value, 3) OVER (PARTITION BY "
+         "l_returnflag ORDER BY obs_time, value), 2) AS value FROM s")(_hot_q("shift", 3, 2))
+register("hot_key_lag_7",
+         f"WITH s AS ({LI_SQL}), d AS (SELECT l_returnflag, obs_time, MAX(value) AS mv FROM s GROUP BY ALL) "
+         "SELECT s.l_returnflag, s.obs_time, ROUND(d.mv, 2) AS value FROM s ASOF LEFT JOIN d "
+         "ON s.l_returnflag = d.l_returnflag AND s.obs_time - INTERVAL 7 DAY >= d.obs_time")(_hot_q("lag", 7, 2))
+register("hot_key_ema_20", ema_sql(20, LI_SQL, "l_returnflag").replace(
+    "ROW_NUMBER() OVER (PARTITION BY l_returnflag ORDER BY obs_time)",
+    "ROW_NUMBER() OVER (PARTITION BY l_returnflag ORDER BY obs_time, value)"))(_hot_q("ema", 20, 2))
