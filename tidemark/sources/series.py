@@ -25,7 +25,28 @@ OBS_SCHEMA = T.StructType([
 ])
 
 
+OBS_SCHEMA_NANOS = T.StructType([
+    T.StructField("obs_time", T.LongType()),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("internal_series_code", T.StringType()),
+])
 BROADCAST_MAX_ROWS = 200_000
+NANOS_CONF = "spark.sql.legacy.parquet.nanosAsLong"
+
+
+def stores_nanos(spark: SparkSession, path: str) -> bool:
+    """Files written from pandas carry ``TIMESTAMP(NANOS)``, which Spark
+    cannot read as a timestamp.  Looks at one footer; when it holds
+    nanoseconds, the session reads such columns as longs from then on
+    (a dataset's files are assumed to share one writer)."""
+    try:
+        t = spark.read.parquet(path).schema["obs_time"].dataType
+        return isinstance(t, T.LongType) and spark.conf.get(NANOS_CONF, "false") == "true"
+    except AnalysisException as e:
+        if "NANOS" not in str(e):
+            raise
+    spark.conf.set(NANOS_CONF, "true")
+    return True
 
 
 class SeriesReadError(ValueError):
@@ -37,11 +58,13 @@ def scan_files(spark: SparkSession, paths: list[str], codes: list[str]) -> DataF
     if not paths:
         raise SeriesReadError(f"Series not found: {', '.join(codes)} (no parquet files)")
     try:
-        df = spark.read.schema(OBS_SCHEMA).parquet(*paths)
+        nanos = stores_nanos(spark, paths[0])
+        df = spark.read.schema(OBS_SCHEMA_NANOS if nanos else OBS_SCHEMA).parquet(*paths)
     except AnalysisException as e:
         raise SeriesReadError(f"Series not found: {', '.join(codes)} (failed to open dataset from paths): {e}") from e
+    t = (F.timestamp_micros(F.floor(F.col("obs_time") / 1000)) if nanos else F.col("obs_time"))
     return (df.where(F.col("internal_series_code").isin(codes))
-            .select(F.col("obs_time").cast("timestamp_ntz").alias(OBS_TIME),
+            .select(t.cast("timestamp_ntz").alias(OBS_TIME),
                     clean(F.col("value").cast("double")).alias(VALUE),
                     F.col("internal_series_code"),
                     M.path_key(F.col("_metadata.file_path")).alias("__file")))
