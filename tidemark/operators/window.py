@@ -78,7 +78,10 @@ class WindowPlan:
 
 
 def _t_us(c: str = OBS_TIME) -> Column:
-    return F.unix_micros(F.col(c).cast("timestamp"))
+    """Microseconds since the epoch of a naive timestamp (no session time
+    zone involved, so day arithmetic is exact across DST changes)."""
+    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
+                  f"CAST(`{c}` AS TIMESTAMP_NTZ))")
 
 
 def _order(value_col: str) -> list[Column]:

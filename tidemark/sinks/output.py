@@ -35,8 +35,14 @@ def version_col(c) -> F.Column:
 
 
 def iso_z(c) -> F.Column:
-    """ISO-8601 with ``Z`` (manifests, status rows)."""
-    return F.concat(F.date_format(c, ISO_FORMAT), F.lit("Z"))
+    """ISO-8601 in UTC with ``Z`` (manifests, status rows), whatever the
+    session time zone."""
+    return F.concat(F.date_format(F.to_utc_timestamp(c, F.current_timezone()), ISO_FORMAT), F.lit("Z"))
+
+
+def utc_now_ntz() -> F.Column:
+    """Current UTC wall-clock time as a naive timestamp."""
+    return F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")
 
 
 def output_paths(base: str, version: str, run_id: str) -> dict:
