@@ -37,14 +37,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import uuid
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.numeric import finite
 from tidemark.model import OBS_TIME
+from tidemark.session import ensure_checkpoint_dir
 
 ROLLING_AGGS = ("sma", "sum", "max", "min")
 
@@ -52,6 +55,21 @@ _K, _B, _G, _C, _HALO = "__k", "__b", "__g", "__c", "__halo"
 _LO, _W = "__lo", "__w"
 _NULL_TIME_BUCKET = 1 << 62
 _DAY_US = 86_400_000_000
+# per-key / per-bucket tables are broadcast only under this proven row count
+SMALL_TABLE_MAX_ROWS = 2_000_000
+
+
+def _small(df: DataFrame, tag: str) -> DataFrame:
+    """Materialise a per-key or per-bucket table once (shared checkpoint
+    folder), counting its rows during the write.  It is broadcast only when
+    that count is within ``SMALL_TABLE_MAX_ROWS``; otherwise the join is a
+    shuffle join that AQE can skew-split.  Never the big side broadcast."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-{tag}-{uuid.uuid4().hex[:12]}"
+    obs = Observation(f"tidemark_{tag}_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    out = spark.read.parquet(path)
+    return F.broadcast(out) if int(obs.get["n"]) <= SMALL_TABLE_MAX_ROWS else out
 
 
 @dataclass(frozen=True)
@@ -101,7 +119,7 @@ def _bucketed(df: DataFrame, keys: list[str], plan: WindowPlan) -> DataFrame:
              .select(_K, F.coalesce(F.col(_LO), F.lit(0)).alias(_LO),
                      F.greatest(F.lit(1.0), (F.col("__hi") - F.col(_LO) + 1).cast("double")
                                 * F.lit(float(plan.chunk_rows)) / F.col("__n")).alias(_W)))
-    df = df.join(stats, _K)
+    df = df.join(_small(stats, "keystats"), _K)
     return df.withColumn(_B, _bucket_of(_t_us()))
 
 
@@ -116,7 +134,8 @@ def _with_ordinal(df: DataFrame, value_col: str) -> DataFrame:
     df = df.withColumn("__i", F.row_number().over(local) - 1)
     counts = df.groupBy(_K, _B).agg(F.count(F.lit(1)).alias("__cnt"))
     prior = Window.partitionBy(_K).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_K, _B, F.coalesce(F.sum("__cnt").over(prior), F.lit(0)).alias("__off"))
+    offsets = _small(counts.select(_K, _B, F.coalesce(F.sum("__cnt").over(prior), F.lit(0)).alias("__off")),
+                     "offsets")
     return (df.join(offsets, [_K, _B])
             .withColumn(_G, F.col("__off") + F.col("__i")).drop("__off", "__i"))
 
@@ -207,7 +226,7 @@ def calendar_lag(df: DataFrame, keys: list[str], col: str, days: int, out: str,
     last_per_bucket = both.groupBy(_K, _B).agg(
         F.max(F.when(F.col("__kind") == 0, F.col("__obs"))).alias("__last"))
     prior = Window.partitionBy(_K).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    carry = last_per_bucket.select(_K, _B, F.max("__last").over(prior).alias("__carry"))
+    carry = _small(last_per_bucket.select(_K, _B, F.max("__last").over(prior).alias("__carry")), "lagcarry")
     res = (both.where(F.col("__kind") == 1).join(carry, [_K, _B], "left")
            .withColumn(out, _null_time_guard(F.coalesce(F.col("__in"), F.col("__carry"))["v"])))
     return _drop_internal(res)
@@ -311,7 +330,8 @@ def ema(df: DataFrame, keys: list[str], col: str, span: int, out: str,
 
     carry_schema = T.StructType([base.schema[k] for k in gkeys] + [
         T.StructField("__yin", T.DoubleType()), T.StructField("__gin", T.LongType())])
-    carry = summaries.groupBy(*keys).applyInPandas(fold, carry_schema).withColumn(_K, _key(keys))
+    carry = _small(summaries.groupBy(*keys).applyInPandas(fold, carry_schema).withColumn(_K, _key(keys)),
+                   "emacarry")
     settle = _settle_steps(span)
 
     def finish(pdf: pd.DataFrame) -> pd.DataFrame:
