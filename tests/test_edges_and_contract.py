@@ -55,3 +55,16 @@ def test_leaf_filter_and_columns_reach_the_scan(spark):
         "In(event_type" in plan
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in plan
     assert plan.count("Exchange") == 2  # partial+final aggregate, then alignment
+
+
+def test_auto_strategy_picks_chunked_only_for_big_keys(spark):
+    rows = [("A", datetime(2024, 1, d), float(d)) for d in range(1, 11)]
+    panel = _panel(spark, rows)
+    assert WindowPlan("auto", 100).resolve(panel.df, panel.keys).strategy == "partition"
+    assert WindowPlan("auto", 5).resolve(panel.df, panel.keys).strategy == "chunked"
+    assert WindowPlan("chunked", 5).resolve(panel.df, panel.keys).strategy == "chunked"
+    # both choices give the same values
+    e = {"op": "sma", "series": A, "window": 3}
+    got = [sorted((r.obs_time, r.value) for r in evaluate(e, "window_op", panel, plan=WindowPlan("auto", n)).collect())
+           for n in (100, 5)]
+    assert got[0] == got[1]
