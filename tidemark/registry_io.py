@@ -7,7 +7,6 @@ They write under the session's shared checkpoint folder
 from __future__ import annotations
 
 import json
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +15,7 @@ from tidemark.model import OBS_TIME, VALUE
 from tidemark.plans.batch import evaluate_requests
 from tidemark.registry import ORACLE, QUERIES, register
 from tidemark.registry_runs import requests
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import scratch_folder
 from tidemark.sinks import ledger as LG
 from tidemark.sinks import output as OUT
 from tidemark.sources import derived as D
@@ -24,8 +23,7 @@ from tidemark.sources import series as SR
 from tidemark.streaming import requests as RQ
 
 
-def scratch(spark: SparkSession, what: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-{what}-{uuid.uuid4().hex[:12]}"
+scratch = scratch_folder
 
 
 def store_events(spark: SparkSession, sf: str, root: str) -> str:

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import sys
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -33,16 +37,56 @@ def build_session(master: str = "local[8]", app: str = "tidemark",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder used to cut lineage (``DataFrame.checkpoint``).
+    """The shared folder for lineage cuts and intermediate tables.
 
     Taken from the session's ``spark.checkpoint.dir`` (on a cluster: shared
-    storage).  Only when the session names none — local tests — a scratch
-    folder is set on the context.
+    storage).  Only a local master may do without: driver and executors are one
+    process there and a scratch folder is set on the context.  On a cluster a
+    machine-local folder would be read back incomplete, so it is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d
-    d = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-ckpt-")
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+_folders: list[str] = []
+
+
+def scratch_folder(spark: SparkSession, what: str) -> str:
+    """A new folder name for an intermediate table in the shared folder; it is
+    deleted when the Python process ends, or by ``clean_scratch``."""
+    if not _folders:
+        atexit.register(_clean_at_exit)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-{what}-{uuid.uuid4().hex[:12]}"
+    _folders.append(path)
+    return path
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables of this process; frames that still read
+    them must not be used afterwards."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _folders:
+        path = jvm.org.apache.hadoop.fs.Path(_folders.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
+
+
+def _clean_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return
+    try:
+        clean_scratch(spark)
+    except Exception as e:  # the JVM may be gone already
+        print(f"intermediate tables not deleted: {type(e).__name__}", file=sys.stderr)
