@@ -47,7 +47,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.numeric import finite
 from tidemark.model import OBS_TIME
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import scratch_folder
 
 ROLLING_AGGS = ("sma", "sum", "max", "min")
 
@@ -65,7 +65,7 @@ def _small(df: DataFrame, tag: str) -> DataFrame:
     that count is within ``SMALL_TABLE_MAX_ROWS``; otherwise the join is a
     shuffle join that AQE can skew-split.  Never the big side broadcast."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-{tag}-{uuid.uuid4().hex[:12]}"
+    path = scratch_folder(spark, tag)
     obs = Observation(f"tidemark_{tag}_{uuid.uuid4().hex[:8]}")
     df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
     out = spark.read.parquet(path)
