@@ -12,12 +12,12 @@ is the ``k`` smallest.  Steps:
    so only those are listed.  Sets of at most 0.8 k shingles are whole in their
    sketch, so t is exact there.  Text that many documents share thus makes no lists
    unless it is half of a document.
-3. A list offers each member the list's hub: first its member with the most common
-   sketch, then a random one.  That is linear in the list.  Pairs are filtered by
-   sizes and by the union sketch's estimate, then verified on full sets, and
-   components are formed.
-4. Lists that still hold several components are compared in blocks, sketches
-   against sketches, leaving out pairs of one component.  So no list is cut short.
+3. A list offers each member the list's hub, its member with the most common sketch.
+   That is linear in the list.  Pairs are filtered by sizes and by the union sketch's
+   estimate, then verified on full sets, and components are formed.
+4. Members of lists that still hold several components meet in blocks, full sets
+   against full sets (``block_links``), leaving out pairs of one component.  So no list
+   is cut short, and only links come out, never all pairs of a group.
 
 Links are exact up to the chance in 2; classes of copies need no pairs at all.
 
@@ -44,7 +44,7 @@ K = 64
 BASE = 0x9E3779B97F4A7C15 | 1
 MULTIPLIERS = [0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD, 0x165667B19E3779F9, 0xA0761D6478BD642F]
 BROADCAST_IDS = 2_000_000
-BLOCK = 512
+BLOCK_ITEMS = 200_000
 
 _tables: dict = {}
 
@@ -147,8 +147,8 @@ def sketches(docs: DataFrame, width: int, k: int = K) -> DataFrame:
 def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """node, items (all hashes, packed) of the documents whose doc_id is in ``ids``;
     ids are broadcast if they are counted as few, else joined by a shuffle."""
-    few = ids.count() <= BROADCAST_IDS
-    wanted = ids.select(F.col("doc_id").alias("wanted")).distinct()
+    wanted = stored(ids.select(F.col("doc_id").alias("wanted")).distinct(), "near-ids")
+    few = wanted.count() <= BROADCAST_IDS
     rows = docs.select("doc_id", "text").join(F.broadcast(wanted) if few else wanted, F.col("doc_id").eqNullSafe(F.col("wanted")),
                                               "left_semi").select("text")
 
@@ -185,9 +185,8 @@ def _near_sizes(x: str, y: str, percent: int):
 
 def hub_pairs(lists: DataFrame, order, percent: int) -> DataFrame:
     """(a, b): each list's members with its hub, the first by ``order`` (descending)."""
-    lists = lists if "label" in lists.columns else lists.withColumn("label", F.col("node"))
-    hub = lists.groupBy("value").agg(F.max(F.struct(order.alias("o"), "node", "n", "label")).alias("hub"))
-    pairs = lists.join(hub, "value").where(F.col("label") != F.col("hub.label"))
+    hub = lists.groupBy("value").agg(F.max(F.struct(order.alias("o"), "node", "n")).alias("hub"))
+    pairs = lists.join(hub, "value").where(F.col("node") != F.col("hub.node"))
     return pairs.where(_near_sizes("n", "hub.n", percent)).select(
         F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
 
@@ -201,46 +200,83 @@ def estimated(pairs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
     return df.where(common * 2 >= F.size("u")).select("a", "b")
 
 
-def block_pairs(lists: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """Candidates of different components inside the lists, blocks of a list against
-    blocks, by sketches."""
-    counted = lists.groupBy("value").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    rows = lists.join(counted, "value").withColumn("block", F.pmod(F.xxhash64("node", "value"), F.col("blocks")).cast("int"))
-    rows = rows.select("value", "node", "n", "label", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select("value", "node", "n", "label", "block", F.least("block", "other").alias("i"),
-                       F.greatest("block", "other").alias("j")).distinct().join(classes.select("node", "sketch"), "node")
+def block_links(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between different components inside the lists, verified on full
+    sets; of the links between two components in a block pair, one.
+
+    A node belongs to the block of its value with the longest list, large blocks being
+    cut to about BLOCK_ITEMS shingles.  Two blocks meet if a list has members in both, so
+    a node is sent once per partner block, not once per list."""
+    sizes = lists.groupBy("value").agg(F.count(F.lit(1)).alias("m"))
+    own = lists.join(sizes, "value").groupBy("node").agg(
+        F.max(F.struct("m", "value")).alias("p"), F.first("n").alias("n"), F.first("label").alias("label"))
+    own = own.withColumn("p", F.col("p.value"))
+    cuts = own.groupBy("p").agg(F.ceil(F.sum("n") / BLOCK_ITEMS).cast("int").alias("cuts"))
+    block = F.concat_ws(":", "p", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("string"))
+    own = stored(own.join(cuts, "p").select("node", "n", "label", block.alias("block")), "near-blocks")
+    seen = stored(lists.join(own.select("node", "block"), "node").select("value", "block").distinct(), "near-block-lists")
+    meet = (seen.withColumnRenamed("block", "i").join(seen.withColumnRenamed("block", "j"), "value").where("i <= j")
+            .select("i", "j").distinct())
+    rows = meet.select(F.concat_ws("|", "i", "j").alias("pair"), F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+    rows = rows.join(own, "block").join(sets, "node").select("pair", "block", "node", "label", "items")
 
-    def run(key, t):
+    def run(batches):
         import pyarrow as pa
 
-        i, j = key[1].as_py(), key[2].as_py()
-        node, label = t.column("node").to_pylist(), t.column("label").to_pylist()
-        n, block = t.column("n").to_numpy(), t.column("block").to_numpy()
-        sk = [np.array(s, np.int64) for s in t.column("sketch").to_pylist()]
-        size = np.array([len(s) for s in sk])
-        # common values of every two sketches: products of the members' value columns
-        ids = np.unique(np.concatenate(sk), return_inverse=True)[1]
-        row = np.repeat(np.arange(len(sk)), size)
-        common = np.zeros((len(sk), len(sk)), np.float32)
-        for cut in range(0, ids.max() + 1, 4096):
-            here = (ids >= cut) & (ids < cut + 4096)
-            has = np.zeros((len(sk), 4096), np.float32)
-            has[row[here], ids[here] - cut] = 1
-            common += has @ has.T
-        may = (2 * common >= np.maximum.outer(size, size)) & (
-            np.minimum.outer(n, n) * 100 >= np.maximum.outer(n, n) * percent)
-        if i != j:
-            may &= np.not_equal.outer(block, block)
-        a, b = [], []
-        for x, y in np.argwhere(np.triu(may, 1)).tolist():
-            if label[x] != label[y]:
-                u = np.union1d(sk[x], sk[y])[:k]
-                if 2 * np.isin(np.intersect1d(sk[x], sk[y], assume_unique=True), u, assume_unique=True).sum() >= len(u):
-                    a.append(min(node[x], node[y]))
-                    b.append(max(node[x], node[y]))
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
-
-    return rows.groupBy("value", "i", "j").applyInArrow(run, "a binary, b binary").distinct()
+        held, pair = [], None
+        for t in batches:
+            for row in zip(*(t.column(i).to_pylist() for i in range(5))):
+                if row[0] != pair:
+                    if held:
+                        yield _links(held, percent)
+                    held, pair = [], row[0]
+                held.append(row[1:])
+        if held:
+            yield _links(held, percent)
+        yield pa.RecordBatch.from_pydict({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary())})
+
+    return rows.repartition("pair").sortWithinPartitions("pair").mapInArrow(run, "a binary, b binary").distinct()
+
+
+def _links(rows: list[tuple], percent: int):
+    """``rows``: block, node, label, items of the members of two blocks (or one)."""
+    import pyarrow as pa
+
+    sets = [np.frombuffer(r[3], np.int64) for r in rows]
+    n = np.array([len(x) for x in sets])
+    _, ids, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # what only one member has adds nothing; the rest are columns of an incidence matrix
+    column = np.cumsum(times > 1) - 1
+    some = times[ids] > 1
+    row, col = np.repeat(np.arange(len(sets)), n)[some], column[ids][some]
+    common = np.zeros((len(sets), len(sets)), np.float32)  # whole numbers below 2 ** 24
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    for start in range(0, int(col[-1]) + 1 if len(col) else 0, 2048):
+        x, y = np.searchsorted(col, (start, start + 2048))
+        has = np.zeros((len(sets), 2048), np.float32)
+        has[row[x:y], col[x:y] - start] = 1
+        common += has @ has.T
+    linked = 100 * common.astype(np.int64) >= percent * (np.add.outer(n, n) - common.astype(np.int64))
+    block, label = [np.unique([r[i] for r in rows], return_inverse=True)[1] for i in (0, 2)]
+    if block.max():
+        linked &= np.not_equal.outer(block, block)
+    linked &= np.not_equal.outer(label, label)
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    a, b = [], []
+    for x, y in np.argwhere(np.triu(linked, 1)).tolist():
+        p, q = root(int(label[x])), root(int(label[y]))
+        if p != q:
+            parent[p] = q
+            a.append(rows[x][1])
+            b.append(rows[y][1])
+    return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -268,32 +304,18 @@ def near_links(docs: DataFrame, width: int = 5, percent: int = 80, k: int = K) -
     classes = stored(sk.where("n > 0").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "near-classes")
     lists = stored(prefix_lists(classes, k, percent), "near-lists")
-    tested = links = None
-    labels = None
-    for step in range(3):
-        if labels is None:
-            left = lists
-        else:
-            named = lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            mixed = named.groupBy("value").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-            left = stored(named.join(mixed.select("value"), "value", "left_semi"), "near-left")
-            if left.isEmpty():
-                break
-        if step == 0:
-            pairs = estimated(hub_pairs(left, F.col("fame"), percent), classes, k)
-        elif step == 1:
-            pairs = estimated(hub_pairs(left, F.xxhash64("node", "value"), percent), classes, k)
-        else:
-            pairs = block_pairs(left, classes, k, percent)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "near-pairs")
-        nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        ids = stored(classes.join(nodes, "node", "left_semi").select("doc_id"), "near-ids")
+    pairs = stored(estimated(hub_pairs(lists, F.col("fame"), percent), classes, k), "near-pairs")
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = stored(full_sets(docs, classes.join(nodes, "node", "left_semi").select("doc_id"), width), "near-sets")
+    links = stored(verified(pairs, sets, percent), "near-links")
+    labels = stored(components(links), "near-labels")
+    named = lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = named.groupBy("value").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    left = stored(named.join(mixed.select("value"), "value", "left_semi"), "near-left")
+    if not left.isEmpty():
+        ids = classes.join(left.select("node").distinct(), "node", "left_semi").select("doc_id")
         sets = stored(full_sets(docs, ids, width), "near-sets")
-        new = stored(verified(pairs, sets, percent), "near-links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = new if links is None else links.unionByName(new)
+        links = links.unionByName(stored(block_links(left, sets, percent), "near-links"))
         labels = stored(components(links), "near-labels")
     return sk.select("doc_id", "n", "node"), labels
 
