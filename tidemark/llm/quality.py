@@ -30,6 +30,7 @@ from tidemark.llm.common import stored, text_batches
 
 ORDER = 4
 UNIT = 16
+BROADCAST_IDS = 2_000_000
 START = 2  # the unit before a text's first
 
 
@@ -107,21 +108,47 @@ class Model:
         return df.select("key", F.log("p").alias("logp"))
 
 
+def _packed(batches):
+    import pyarrow as pa
+
+    codec = pa.Codec("zstd", 3)
+    for b in batches:
+        raw = [None if x is None else x.encode("utf-8", "surrogatepass") for x in b.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [*(b.column(c) for c in ("block", "doc_id", "lang")), pa.array([None if x is None else len(x) for x in raw], pa.int32()),
+             pa.array([None if x is None else codec.compress(x, asbytes=True) for x in raw], pa.binary())],
+            names=["block", "doc_id", "lang", "size", "text"])
+
+
+def _unpacked(t):
+    """The texts of a block, one at a time."""
+    import pyarrow as pa
+
+    codec = pa.Codec("zstd")
+    for size, x in zip(t.column("size"), t.column("text")):
+        size, x = size.as_py(), x.as_py()
+        yield None if x is None else codec.decompress(x, size, asbytes=True).decode("utf-8", "surrogatepass") if size else ""
+
+
 def perplexities(docs: DataFrame, model: Model, block_bytes: int = 8 << 20) -> DataFrame:
     """doc_id, lang, n_units, perplexity."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     dealt = docs.select(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)).cast("int").alias("block"), "doc_id", "lang", "text")
+    # texts travel compressed; both readers of the blocks are in one job and share its exchange
+    dealt = dealt.mapInArrow(_packed, dealt.select("block", "doc_id", "lang").schema.add("size", "integer").add("text", "binary"))
 
     def ask(t):
         import pyarrow as pa
 
-        found = np.zeros(0, np.int64)
-        for b in t.combine_chunks().to_batches():
-            for part in text_batches(b):
-                keys = [gram_keys(x) for x in part.column("text").to_pylist() if x]
-                if keys:
-                    found = np.union1d(found, np.concatenate(keys))
+        found, held, size = np.zeros(0, np.int64), [], 0
+        for x in _unpacked(t):
+            if x:
+                held.append(gram_keys(x))
+                size += len(held[-1])
+                if size > 1 << 21:
+                    found, held, size = np.union1d(found, np.concatenate(held)), [], 0
+        found = np.union1d(found, np.concatenate([found, *held]))
         block = t.column("block")[0].as_py()
         return pa.table({"block": pa.array(np.full(len(found), block, np.int32)), "key": pa.array(found)})
 
@@ -131,8 +158,7 @@ def perplexities(docs: DataFrame, model: Model, block_bytes: int = 8 << 20) -> D
         order = np.argsort(known.column("key").to_numpy())
         key, logp = known.column("key").to_numpy()[order], known.column("logp").to_numpy()[order]
         n, score = [], []
-        for x in t.column("text"):
-            x = x.as_py()
+        for x in _unpacked(t):
             if x:
                 own, times = np.unique(gram_keys(x), return_counts=True)
                 n.append(int(times.sum()))
@@ -144,7 +170,6 @@ def perplexities(docs: DataFrame, model: Model, block_bytes: int = 8 << 20) -> D
                          "perplexity": pa.array(score, pa.float64())})
 
     asked = dealt.groupBy("block").applyInArrow(ask, "block int, key long")
-    asked = stored(asked, "kn-asked")
     known = asked.join(model.log_probs(asked.select("key").distinct()), "key").select("block", "key", "logp")
     schema = docs.select("doc_id", "lang").schema.add("n_units", "long").add("perplexity", "double")
     return dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(answer, schema)
@@ -164,8 +189,9 @@ def thresholds(scored: DataFrame, quantile: float, margin: float) -> DataFrame:
 def judge(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, margin: float = 1.1) -> DataFrame:
     """doc_id, lang, n_units, perplexity, threshold, kept.  Trusted: labelled with
     quality 1 and not toxic."""
-    good = labels.where("quality = 1 AND toxic = 0").select("doc_id").distinct()
-    model = Model(docs.select("doc_id", "text").join(good, "doc_id", "left_semi"))
+    good = stored(labels.where("quality = 1 AND toxic = 0").select("doc_id").distinct(), "kn-trusted")
+    few = good.count() <= BROADCAST_IDS  # else a shuffled join
+    model = Model(docs.select("doc_id", "text").join(F.broadcast(good) if few else good, "doc_id", "left_semi"))
     scored = perplexities(docs, model)
     marked = scored.join(good.withColumn("trusted", F.lit(True)), "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
     scored = stored(marked.withColumn("lang_key", F.coalesce(F.concat(F.lit("="), "lang"), F.lit("~"))), "kn-scored")
