@@ -1,0 +1,372 @@
+"""Small tables against plain Python, and the edge cases every operator defines:
+nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
+
+import collections
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tidemark.llm import chat, decontam, dedup_exact, langid, mixing, near, quality, shards, tokens, urls
+from tidemark.llm.components import components
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+BASE = " ".join(f"word{i % 97}x{i}" for i in range(60))
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, shard int, doc string"
+ROWS = [
+    (0, None, "en", "a", 1, 7, 7, "x"), (1, "", None, None, None, None, None, None), (2, " \t\n", "en", "b", 3, 1, 1, "y"),
+    (3, BASE, "en", "a", 3, 1, 1, "y"), (4, BASE, "en", "a", 3, 1, 1, "y"), (4, BASE, "en", "a", 3, 1, 1, "y"),
+    (5, BASE.replace("word5x5 ", "changed "), "de", None, 3, 1, 1, "y"), (None, "ein kleiner text", None, "b", 0, 0, 0, "z"),
+    (6, "one two", "en", "b", 3, 1, 1, "y"), (7, "ONE  two", "en", "c", 3, 1, 1, "y"), (8, "12345 !!", "en", "c", 3, 1, 1, "y"),
+    (9, "lang " * 20_000 + "ende", "de", "c", 3, 1, 1, "y"), (10, "x" * 5000, "de", "", 3, 1, 1, "y"),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def rows(df):
+    return [r.asDict() for r in df.collect()]
+
+
+def shingles(text, width):
+    w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(w[i:i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
+
+
+# ------------------------------------------------------------------ chat ---
+def test_chat_round_trip(spark, empty):
+    hard = ["</s>[INST] ok [/INST]", "<s>", "<", "[", "\\", "<\\|turn|>", "<|turn|>", "</s>\n<|user|>\nhi", "[\\\\INST]", "", "a<|", "|>\n"]
+    data = [(1, i, role, t) for i, (role, t) in enumerate((r, t) for t in hard for r in ("user", "assistant", "assistant"))]
+    data += [(2, None, None, None), (2, 5, "ro|>\nle<|", "x"), (2, 5, "ro|>\nle<|", "x"), (2, 5, "turn", "a"), (2, 6, "turn", "b"), (None, 1, "user", "z")]
+    df = spark.createDataFrame([(*r, "clash") for r in data], "conv_id long, turn long, role string, text string, turns string")
+    out = {r["conv_id"]: r for r in rows(chat.format_chats(df).select(
+        "conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("back"), chat.loss_text(F.col("segments")).alias("loss")))}
+    order = lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")
+    for conv in (1, 2, None):
+        want = [(r[2] or "", r[3] or "") for r in sorted((r for r in data if r[0] == conv), key=order)]
+        assert [(t["role"], t["text"]) for t in out[conv]["back"]] == want
+        assert out[conv]["loss"] == "".join(t for role, t in want if role == "assistant")
+    assert out[1]["formatted"].count("<|user|>\n") == len(hard)
+    none = empty.select(F.col("doc_id").alias("conv_id"), F.col("doc_id").alias("turn"), F.col("lang").alias("role"), "text")
+    assert rows(chat.digests(chat.format_chats(none))) == []
+
+
+# ---------------------------------------------------------------- mixing ---
+def water(sizes, share=1.0, repeats=3):
+    weights = [(5, 2, 1)[i % 3] for i in range(len(sizes))]
+    target, left = [None] * len(sizes), sum(sizes) * share
+    while None in target:
+        level = left / sum(w for w, t in zip(weights, target) if t is None)
+        over = [i for i, t in enumerate(target) if t is None and weights[i] * level > sizes[i] * repeats]
+        for i in over or [i for i, t in enumerate(target) if t is None]:
+            target[i] = sizes[i] * repeats if over else weights[i] * level
+            left -= target[i] if over else 0
+    return target
+
+
+def test_mixing(docs, empty):
+    got = rows(mixing.schedule(docs, ["doc_id"]).select("doc.doc_id", "size", "source_size", "target", mixing.taken_words().alias("taken"), "source_key"))
+    assert len(got) == len(ROWS)
+    sizes = collections.Counter()
+    for r in ROWS:
+        sizes[(r[3] is None, r[3] or "")] += len(WORD.findall(r[1] or ""))
+    keys = sorted(sizes)
+    want = dict(zip(keys, water([sizes[k] for k in keys])))
+    taken = collections.Counter()
+    for r in got:
+        key = (r["source_key"] == "~", r["source_key"][1:])
+        assert r["source_size"] == sizes[key] and r["target"] == pytest.approx(want[key]) and 0 <= r["taken"] <= 3 * r["size"]
+        taken[key] += r["taken"]
+    assert all(abs(taken[k] - want[k]) <= 1 for k in keys)
+    again = rows(mixing.schedule(docs.repartition(5), ["doc_id"]).select("doc.doc_id", mixing.taken_words().alias("taken")))
+    key = lambda r: (str(r["doc_id"]), r["taken"])
+    assert sorted(map(key, again)) == sorted(map(key, got))
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns and max(collections.Counter(r["doc_id"] for r in rows(mixed)).values()) <= 6
+    assert rows(mixing.mix(empty)) == []
+
+
+# --------------------------------------------------------------- lang id ---
+def test_language_id(spark, docs, empty):
+    rng = np.random.default_rng(3)
+    parts = {"aa": ["ba", "to", "ri", "mu"], "bb": ["schn", "ull", "ex", "zwo"], "cc": ["ção", "ñe", "lo", "qui"]}
+    data = []
+    for i in range(900):
+        lang = list(parts)[i % 3]
+        words = ["".join(rng.choice(parts[lang], 3)) for _ in range(int(rng.integers(3, 30)))]
+        data.append((i, " ".join(words), lang if i % 10 else None))
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    model = langid.train(df)
+    out = rows(langid.predict(df, model, ["doc_id", "lang"]).select("doc.*", "lang_pred", "score", langid.held_out("doc.doc_id").alias("held")))
+    test = [r for r in out if r["held"]]
+    assert {r["doc_id"] for r in test} == {i for i in range(900) if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert np.mean([r["lang_pred"] == list(parts)[r["doc_id"] % 3] for r in test]) > 0.97
+    assert all(0 <= r["score"] <= 1 for r in out)
+    edge = {r["doc_id"]: r for r in rows(langid.predict(docs, model, docs.columns).select("doc.*", "lang_pred", "score"))}
+    assert [edge[i]["lang_pred"] for i in (0, 1, 2, 8)] == ["und"] * 4 and edge[9]["lang_pred"] in parts
+    assert rows(langid.predict(empty, langid.train(empty), ["doc_id"])) == []
+    assert langid.train(docs.withColumn("lang", F.lit(None).cast("string"))).judge("abc") == ("und", 0.0)
+
+
+# --------------------------------------------------------------- quality ---
+def kneser_ney(texts):
+    """Plain interpolated modified Kneser-Ney over characters, order 4."""
+    order, pad = 4, "\x02" * 3
+    counts = [collections.Counter()]
+    for t in texts:
+        for i in range(len(t)):
+            counts[0][(pad + t)[i:i + order]] += 1
+    for _ in range(order - 1):
+        counts.append(collections.Counter(g[1:] for g in counts[-1]))
+    levels = []
+    for c in counts[::-1]:
+        n = [sum(v == i for v in c.values()) for i in range(1, 5)]
+        y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0
+        d = [1 - 2 * y * n[1] / n[0] if n[0] else 0.5, 2 - 3 * y * n[2] / n[1] if n[1] else 1, 3 - 4 * y * n[3] / n[2] if n[2] else 1.5]
+        d = [min(max(x, 0.05), i + 0.95) for i, x in enumerate(d)]
+        total, rest = collections.Counter(), collections.Counter()
+        for g, v in c.items():
+            total[g[:-1]] += v
+            rest[g[:-1]] += d[min(v, 3) - 1]
+        levels.append((c, d, total, rest))
+    units = len(levels[0][0]) + 1
+
+    def prob(gram):
+        p = 1 / units
+        for k, (c, d, total, rest) in enumerate(levels, 1):
+            g = gram[-k:]
+            if total[g[:-1]]:
+                v = c[g]
+                p = ((v - d[min(v, 3) - 1] if v else 0) + rest[g[:-1]] * p) / total[g[:-1]]
+        return p
+
+    return lambda t: float(np.exp(-np.mean([np.log(prob((pad + t)[i:i + order])) for i in range(len(t))]))) if t else None
+
+
+def test_quality_equals_plain_kneser_ney(spark, docs, empty):
+    labels = spark.createDataFrame([(3, 1, 0), (3, 1, 0), (6, 1, 0), (7, 1, 1), (9, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    got = rows(quality.judge(docs, labels))
+    ppl = kneser_ney([BASE, "one two"])
+    assert len(got) == len(ROWS)
+    by = {r[0]: r[1] for r in ROWS}
+    for r in got:
+        want = ppl(by[r["doc_id"]]) if (by[r["doc_id"]] or "") != "" and r["doc_id"] != 9 else r["perplexity"]
+        assert r["perplexity"] == (pytest.approx(want, rel=1e-9) if want is not None else None)
+    kept = {r["doc_id"]: r["kept"] for r in got}
+    assert kept[3] and kept[4] and kept[6] and not kept[0] and not kept[1] and not kept[8]
+    none = rows(quality.judge(docs, labels.where("false")))
+    assert len(none) == len(ROWS) and all(r["kept"] is None for r in none)
+    assert rows(quality.judge(empty, labels)) == []
+
+
+# ----------------------------------------------------------- exact dedup ---
+@pytest.mark.parametrize("counters", [1, 2, 256])
+def test_exact_dedup(docs, empty, counters):
+    groups = collections.defaultdict(list)
+    for r in ROWS:
+        groups[hashlib.sha256(re.sub(r"[\x20\x09-\x0D]", "", r[1] or "").encode()).digest()].append(r)
+    got = rows(dedup_exact.dedup_exact(docs, counters))
+    assert len(got) == len(ROWS)
+    for r in got:
+        own = groups[bytes(r["digest"])]
+        best = min(own, key=lambda x: (-len(x[1] or ""), x[0] is not None, x[0] or 0))
+        assert (r["keep_id"], r["group_size"], r["kept"]) == (best[0], len(own), r["doc_id"] == best[0])
+    assert rows(dedup_exact.dedup_exact(empty)) == []
+
+
+def test_heavy_hitters_find_all(spark):
+    values = [b"a"] * 400 + [b"b"] * 300 + [bytes([i % 256, i // 256]) for i in range(900)]
+    df = spark.createDataFrame([(v,) for v in values], "digest binary").repartition(40)
+    assert {b"a", b"b"} <= {bytes(r["digest"]) for r in rows(dedup_exact.heavy_hitters(df, 6))}
+
+
+# ---------------------------------------------------------------- tokens ---
+def test_trie_counts_equal_plain_viterbi(spark, docs, empty, tmp_path):
+    import base64
+    pieces = [bytes([i]) for i in range(256)] + [b"wor", b"word", b" wor", b"rd1", b"la", b"lang", b" lang", b"xx", b"xxx", "é".encode() + b"a"]
+    path = tmp_path / "ranks"
+    path.write_text("".join(f"{base64.b64encode(p).decode()} {len(pieces) - i}\n" for i, p in enumerate(pieces)))
+    ranks = tokens.read_ranks(str(path))
+    cost = {p: round(np.log(r + 2) * (1 << 16)) for p, r in ranks.items()}
+
+    def plain(t):
+        best = [(0, 0)]
+        for j in range(1, len(t) + 1):
+            best.append(min((best[i][0] + cost[t[i:j]], best[i][1] + 1) for i in range(max(0, j - 8), j) if t[i:j] in cost))
+        return best[-1][1]
+
+    got = {r["doc_id"]: r["n_tokens"] for r in rows(tokens.count_tokens(docs, str(path), block_bytes=200))}
+    for doc_id, text, *_ in ROWS:
+        assert got[doc_id] == sum(plain(x.encode()) for x in tokens.PRETOKEN.findall(text or ""))
+    texts = ["word1 é éa xxxx", "w" * 70 + " lang", "\u3042 \U0001F600"]
+    assert tokens.count_texts(tokens.Pieces(ranks), texts).tolist() == [sum(plain(x.encode()) for x in tokens.PRETOKEN.findall(t)) for t in texts]
+    assert rows(tokens.count_tokens(empty, str(path))) == []
+    with pytest.raises(ValueError):
+        tokens.Pieces({b"a": 0})
+
+
+# ------------------------------------------------------------------ urls ---
+RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def test_url_rules_and_method(spark):
+    urls_ = [None, "", "no scheme", "http://A.Example.NET/en/x?q#f", "http://example.net/de/", "x://net", "http://net/", "http://xexample.com/de/1",
+             "http://a.example.com/de/1#y", "a://b.org/fr/://c", "http://h?x/", "http://freecasinobets.example.com/en/1", "http://garden.example.com/en/2"]
+    urls_ += ["http://free-casino.example.com/en/3", "http://garden.example.com/en/4"] * 6
+    data = [(i if i else None, u, "<p>free casino bets garden example the free casino bets</p>" if i % 2 else None) for i, u in enumerate(urls_)]
+    df = spark.createDataFrame([(*r, "h") for r in data], "page_id long, url string, html string, host string")
+    got = {r["page_id"]: r for r in rows(urls.judge(df, RULES))}
+    for i, u, _ in data:
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", u or "")
+        host, path = (m[1].lower(), m[2]) if m else ("", "")
+        fits = [(len(h + p), h + p, v) for v, h, p in RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        want = max(fits)[1:] if fits else (None, None)
+        assert (got[i]["host"], got[i]["path"], got[i]["rule"]) == (host, path, want[0])
+        assert got[i]["verdict"] == want[1] if fits else got[i]["verdict"] in ("allow", "block")
+    assert got[11]["verdict"] == "block" and got[12]["verdict"] == "allow"
+    assert urls.segment("freecasinobets", {"free": 5, "casino": 4, "bets": 4, "in": 50}, 1000) == ["free", "casino", "bets"]
+    assert rows(urls.judge(df.where("false"), RULES)) == []
+
+
+# ------------------------------------------------------------------ near ---
+def plain_components(data, width, percent=80):
+    sets = [(i, shingles(t, width)) for i, t in data]
+    label = list(range(len(sets)))
+    for x in range(len(sets)):
+        for y in range(x):
+            a, b = sets[x][1], sets[y][1]
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                old, new = label[x], label[y]
+                label = [new if v == old else v for v in label]
+    least = {}
+    for (i, _), v in zip(sets, label):
+        least[v] = min(least.get(v, i), i, key=lambda z: (z is not None, z or 0))
+    return [(i, len(s), least[v]) for (i, s), v in zip(sets, label)]
+
+
+@pytest.mark.parametrize("width", [4, 5])
+def test_near_edges(docs, width):
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows(near.near_dedup(docs, width))), key=str)
+    assert got == sorted(plain_components([r[:2] for r in ROWS], width), key=str)
+
+
+def test_near_equals_all_pairs(spark, empty, monkeypatch):
+    rng = np.random.default_rng(5)
+    vocab = [f"w{i}" for i in range(4000)]
+    data = []
+    common = " ".join(rng.choice(vocab, 30))
+    for g in range(40):
+        base = list(rng.choice(vocab, int(rng.integers(3, 260))))
+        for c in range(int(rng.integers(1, 9))):
+            w = list(base)
+            for _ in range(int(rng.integers(0, 1 + len(base) // 25))):
+                w[int(rng.integers(len(w)))] = rng.choice(vocab)
+            data.append((len(data), " ".join(w) + (" " + common if g % 2 else "")))
+    base = list(rng.choice(vocab, 120))  # a crowd whose members are as far from it as the threshold
+    for c in range(120):
+        w = list(base)
+        for j in rng.choice(120, 4 + c % 3, replace=False):
+            w[j] = rng.choice(vocab)
+        data.append((len(data), " ".join(w)))
+    monkeypatch.setattr(near, "BLOCK_ITEMS", 3000)
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows(near.near_dedup(df, 4)))
+    assert got == sorted(plain_components(data, 4))
+    assert rows(near.near_dedup(empty)) == []
+
+
+def test_components(spark):
+    links = [(i, i + 1) for i in range(1, 30)] + [(50, 40), (60, 40), (7, 90), (5, 5)]
+    got = {r["node"]: r["label"] for r in rows(components(spark.createDataFrame(links, "a long, b long")))}
+    assert got == {**{i: 1 for i in range(1, 31)}, 90: 1, 40: 40, 50: 40, 60: 40}
+
+
+# ---------------------------------------------------------------- shards ---
+def test_sharding(docs, empty):
+    got = rows(shards.shard(docs, 4, docs.columns).select("doc.doc_id", "doc.text", "size", "crc", "shard", "slot"))
+    assert len(got) == len(ROWS)
+    where = collections.defaultdict(set)
+    slots = collections.defaultdict(list)
+    for r in got:
+        assert r["size"] == len((r["text"] or "").encode()) + 16 and r["crc"] == zlib.crc32((r["text"] or "").encode())
+        where[r["text"] or ""].add(r["shard"])
+        slots[r["shard"]].append(r["slot"])
+    assert all(len(s) == 1 for s in where.values()) and set(slots) <= set(range(4))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert rows(shards.shard(empty, 4, ["doc_id"])) == []
+
+
+def test_packing_equals_plain_best_fit():
+    rng = np.random.default_rng(1)
+    items = [(int(rng.integers(1, 400)), f"i{i}") for i in range(700)]
+    rooms, want = [], []
+    for size, name in sorted(items, key=lambda x: (-x[0], x[1])):
+        fits = [(room, b) for b, room in enumerate(rooms) if room >= size]
+        b = min(fits)[1] if fits else len(rooms)
+        if not fits:
+            rooms.append(1000)
+        rooms[b] -= size
+        want.append((name, b))
+    assert shards.best_fit_decreasing(items, 1000) == want
+    load = collections.Counter()
+    sizes = {n: s for s, n in items}
+    for name, b in shards.pack_into(items, 40):
+        load[b] += sizes[name]
+    assert len(load) == 40 and max(load.values()) - min(load.values()) < 0.02 * max(load.values())
+
+
+# -------------------------------------------------------------- decontam ---
+def test_decontamination(spark, docs, empty):
+    item = "The quick brown fox jumps over a lazy dog, while seven green birds watch it from the old stone wall tonight and sing until the first light of a cold grey morning ends their song."
+    bench = spark.createDataFrame([(1, item), (2, item + " again"), (3, "too short"), (4, None), (5, BASE)], "item_id long, text string")
+    one = item.replace("seven", "eight")
+    data = [(1, "start " * 30 + item + " end" * 40), (2, item.upper()), (3, "lead in. " + one.replace(",", " ;") + " tail"), (4, " ".join(item.split()[:9])),
+            (5, "no leak here at all, just a quick brown fox"), (6, None), (None, item), (5, "again clean")]
+    df = spark.createDataFrame([(*r, 0.0) for r in data], "doc_id long, text string, similarity double")
+    got = rows(decontam.decontaminate(df, bench))
+    assert len(got) == len(data)
+    assert sorted({str(r["doc_id"]) for r in got if not r["kept"]}) == ["1", "2", "3", "None"]
+    assert {r["item_id"] for r in got if r["doc_id"] in (1, 2)} == {1} and all(r["similarity"] == 1 for r in got if r["doc_id"] in (1, 2))
+    sliced = rows(decontam.leaks(df, bench, slice_grams=20))
+    assert {r["doc_id"] for r in sliced} == {1, 2, 3, None}
+    assert {r["doc_id"] for r in rows(decontam.leaks(docs, bench))} == {3, 4, 5}
+    assert all(r["kept"] for r in rows(decontam.decontaminate(df, bench.where("false")))) and rows(decontam.decontaminate(empty, bench)) == []
+    plan = decontam.decontaminate(df, bench)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# -------------------------------------------------------------- pipeline ---
+def test_pipeline_stages(spark, docs, tmp_path):
+    bench = [(1, " ".join(f"leak{i}" for i in range(30)))]
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    extra = [(100, "some words before " + bench[0][1] + " and after", "en", "a", 1, 1, 1, "q")]
+    docs.unionByName(spark.createDataFrame(extra, SCHEMA)).write.parquet(f"{tmp_path}/documents.parquet")
+    at = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    seen = []
+    for name, stage in corpus_pipeline.STAGES:
+        at = stage(spark, at, str(tmp_path))
+        at.write.parquet(f"{tmp_path}/{name}")
+        at = spark.read.parquet(f"{tmp_path}/{name}")
+        seen.append(at)
+    assert [s.columns == docs.columns for s in seen[:4]] == [True] * 4
+    assert {r["doc_id"] for r in rows(seen[0])} >= {3, 4, 5, 6, 7, 9, 10, 100, None} and not {r["doc_id"] for r in rows(seen[0])} & {0, 1, 2, 8}
+    first = [(r["doc_id"], r["text"]) for r in rows(seen[0])]
+    keep = {i for i, _, least in plain_components(first, 5) if i == least}
+    assert {r["doc_id"] for r in rows(seen[1])} == keep
+    assert {r["doc_id"] for r in rows(seen[2])} == keep - {100}
+    assert {r["doc_id"] for r in rows(seen[3])} <= keep - {100}
+    assert sorted(str(r["doc_id"]) for r in rows(seen[4])) == sorted(str(r["doc_id"]) for r in rows(seen[3]))
+    assert seen[4].columns == [c for c in docs.columns if c != "shard"] + ["shard", "slot"]
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == seen[4].count()
