@@ -53,8 +53,11 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> t
 
 
 def word_counts(pages: DataFrame) -> DataFrame:
-    """word, n over the pages' text (html without tags) and urls; letters only."""
-    text = F.concat_ws(" ", F.regexp_replace(F.coalesce("html", F.lit("")), "<[^>]*>", " "), F.coalesce("url", F.lit("")))
+    """word, n over the pages' text (html without tags), paths and the parts of
+    hyphenated host names; letters only.  Whole host names don't count: they are what
+    is to be split."""
+    parts = F.regexp_extract_all(host_of(F.col("url")), F.lit(r"\p{L}+(?=-)|(?<=-)\p{L}+"), F.lit(0))
+    text = F.concat_ws(" ", F.regexp_replace(F.coalesce("html", F.lit("")), "<[^>]*>", " "), path_of(F.col("url")), F.array_join(parts, " "))
     words = pages.select(F.explode(F.split(F.lower(text), r"[^\p{L}]+")).alias("word"))
     return (words.where(F.length("word").between(2, LONGEST_WORD)).groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
