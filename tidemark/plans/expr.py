@@ -23,6 +23,7 @@ from tidemark.operators.arith import SERIES_MATH_OPS
 from tidemark.operators.composite import COMPOSITE_OPS
 
 EXPRESSION_TYPES = ("series_math", "window_op", "composite")
+MAX_WINDOW = 2**31 - 1
 WINDOW_OPS = ("sma", "ema", "sum", "max", "min", "lag", "shift")
 
 
@@ -88,11 +89,17 @@ def check_op(node: dict, expression_type: str) -> str:
 
 def check_window(node: dict) -> int:
     w = node.get("window")
-    if isinstance(w, bool) or not isinstance(w, int) or w < 1:
+    if isinstance(w, bool) or not isinstance(w, int) or not 1 <= w <= MAX_WINDOW:
         raise InvalidExpressionError(f"Invalid window: {w}")
     return w
 
 
+def check_scale(node: dict) -> None:
+    s = node.get("scale")
+    if s is not None and (isinstance(s, bool) or not isinstance(s, (int, float))):
+        raise InvalidExpressionError(f"Invalid scale: {s}")
+
+
 def check_operands(node: dict) -> list:
     operands = node.get("operands") or []
     if not isinstance(operands, list) or len(operands) < 2:
@@ -131,6 +138,8 @@ def validate(expression, expression_type) -> list[str]:
 
     def walk(node: dict, t: str) -> None:
         check_op(node, t)
+        if t == "series_math":
+            check_scale(node)
         if t == "window_op":
             check_window(node)
         if t == "composite":

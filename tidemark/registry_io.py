@@ -98,6 +98,8 @@ def request_stream(spark, sf):
                               F.col("expression_type").alias("expressionType"),
                               F.col("expression_json").alias("expressionJson"),
                               F.array().cast("array<struct<datasetId:string,seriesCode:string>>").alias("inputs"),
+                              F.struct(F.create_map().cast("map<string,struct<manifestPath:string,projectionsPath:string>>")
+                                       .alias("datasets")).alias("catalog"),
                               F.struct(F.lit(f"{root}/out").alias("basePath")).alias("output")))
     # every third customer's request arrives wrapped in a notification envelope
     wrapped = F.to_json(F.struct(F.lit("Notification").alias("Type"), body.alias("Message"),

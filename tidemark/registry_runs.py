@@ -45,9 +45,9 @@ def _req_sql(body: str) -> str:
 
 # ------------------------------------------------------- S12, S11: series ---
 @register("available_series",
-          "SELECT DISTINCT event_type AS series_code FROM events ORDER BY series_code LIMIT 20")
+          "SELECT DISTINCT event_type AS series_code FROM events")
 def available_series(spark, sf):
-    return D.user_events(spark, sf).codes().orderBy("series_code").limit(20)
+    return D.user_events(spark, sf).codes()
 
 
 @register("missing_series", _req_sql(
