@@ -1,8 +1,10 @@
-"""Golden values of the reference's evaluator tests, re-authored (own data),
-plus the cases the reference does not cover (NaN/Inf rules, gaps, dups)."""
+"""Evaluator results against pandas primitives on irregular random series, and
+hand-made cases for the rules (NaN/Inf, gaps, duplicates, errors)."""
 
 import math
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from tests.conftest import make_panel, values
@@ -20,22 +22,33 @@ def ev(spark, series, expr, etype, plan=None, **kw):
     return values(evaluate(expr, etype, make_panel(spark, series, **kw), plan=plan))
 
 
-@pytest.mark.parametrize("op,a,b,want", [
-    ("add", [1, 2, 3], [4, 5, 6], [5, 7, 9]),
-    ("ratio", [10, 20, 30], [2, 4, 5], [5, 5, 6]),
-    ("subtract", [10, 20, 30], [4, 5, 6], [6, 15, 24]),
-    ("multiply", [2, 3, 4], [5, 6, 7], [10, 18, 28]),
-])
-def test_series_math(spark, op, a, b, want):
-    got = ev(spark, {"A": [float(x) for x in a], "B": [float(x) for x in b]},
-             {"op": op, "left": A, "right": B}, "series_math")
-    assert got == want
+
+def irregular(seed, n=40, span=70, nulls=0.1, days=None):
+    """A series on ``n`` of ``span`` days, some values missing."""
+    rng = np.random.default_rng(seed)
+    at = sorted(rng.choice(span, n, replace=False).tolist()) if days is None else days
+    return pd.Series([None if rng.random() < nulls else round(float(rng.normal(20, 9)), 3) for _ in at], index=at, dtype="float64")
+
+
+def rows_of(series):
+    return [(d, None if math.isnan(v) else v) for d, v in series.items()]
 
 
-def test_scale(spark):
-    got = ev(spark, {"A": [1.0, 2.0], "B": [3.0, 4.0]}, {"op": "add", "left": A, "right": B, "scale": 2},
-             "series_math")
-    assert got == [8, 12]
+def same(got, want):
+    want = [None if math.isnan(v) else v for v in want]
+    assert len(got) == len(want)
+    for g, w in zip(got, want):
+        assert g is None if w is None else g == pytest.approx(w, rel=1e-9)
+
+
+@pytest.mark.parametrize("scale", [None, -2.5])
+@pytest.mark.parametrize("op", ["add", "ratio", "subtract", "multiply"])
+def test_series_math(spark, op, scale):
+    a, b = irregular(11), irregular(12)
+    x, y = a.align(b, join="outer")
+    want = {"add": x + y, "ratio": x / y, "subtract": x - y, "multiply": x * y}[op] * (1 if scale is None else scale)
+    e = {"op": op, "left": A, "right": B} | ({} if scale is None else {"scale": scale})
+    same(ev(spark, {"A": rows_of(a), "B": rows_of(b)}, e, "series_math"), want)
 
 
 def test_ratio_by_zero_is_ieee(spark):
@@ -45,18 +58,26 @@ def test_ratio_by_zero_is_ieee(spark):
 
 
 @pytest.mark.parametrize("plan", PLANS, ids=lambda p: p.strategy)
-@pytest.mark.parametrize("op,data,n,want", [
-    ("sma", [1, 2, 3, 4, 5], 3, [None, None, 2, 3, 4]),
-    ("sma", [1, 2], 5, [None, None]),
-    ("sum", [1, 2, 3, 4, 5], 3, [None, None, 6, 9, 12]),
-    ("max", [1, 5, 3, 2, 4], 3, [None, None, 5, 5, 4]),
-    ("min", [5, 1, 3, 4, 2], 3, [None, None, 1, 1, 2]),
-    ("lag", [1, 2, 3, 4, 5], 2, [None, None, 1, 2, 3]),
-    ("shift", [1, 2, 3, 4, 5], 2, [None, None, 1, 2, 3]),
-])
-def test_window_ops(spark, plan, op, data, n, want):
-    got = ev(spark, {"A": [float(x) for x in data]}, {"op": op, "series": A, "window": n}, "window_op", plan)
-    assert got == want
+@pytest.mark.parametrize("n", [1, 4, 41])
+@pytest.mark.parametrize("op", ["sma", "sum", "max", "min", "lag", "shift"])
+def test_window_ops(spark, plan, op, n):
+    a = irregular(21, nulls=0.05)
+    if op == "lag":  # the last row at or before n days earlier
+        at = np.array(a.index)
+        found = np.searchsorted(at, at - n, side="right") - 1
+        want = pd.Series([a.iloc[i] if i >= 0 else math.nan for i in found])
+    elif op == "shift":
+        want = a.shift(n)
+    else:
+        want = getattr(a.rolling(n, min_periods=n), {"sma": "mean"}.get(op, op))()
+    same(ev(spark, {"A": rows_of(a)}, {"op": op, "series": A, "window": n}, "window_op", plan), want)
+
+
+@pytest.mark.parametrize("plan", PLANS, ids=lambda p: p.strategy)
+def test_ema_equals_pandas(spark, plan):
+    a = irregular(22, nulls=0.3)
+    want = a.ewm(span=7, adjust=False).mean()
+    same(ev(spark, {"A": rows_of(a)}, {"op": "ema", "series": A, "window": 7}, "window_op", plan), want)
 
 
 @pytest.mark.parametrize("plan", PLANS, ids=lambda p: p.strategy)
@@ -86,16 +107,12 @@ def test_calendar_lag_is_asof_backward(spark, plan):
     assert got == [None, None, 11, None]  # t=9 -> day 6 -> row of day 5 (null, not skipped)
 
 
-@pytest.mark.parametrize("op,a,b,c,want", [
-    ("sum", [1, 2, 3], [4, 5, 6], [7, 8, 9], [12, 15, 18]),
-    ("avg", [1, 2, 3], [4, 5, 6], [7, 8, 9], [4, 5, 6]),
-    ("max", [1, 5, 3], [4, 2, 6], [2, 3, 1], [4, 5, 6]),
-    ("min", [5, 2, 4], [3, 6, 1], [4, 3, 5], [3, 2, 1]),
-])
-def test_composites(spark, op, a, b, c, want):
-    got = ev(spark, {"A": [float(x) for x in a], "B": [float(x) for x in b], "C": [float(x) for x in c]},
-             {"op": op, "operands": [A, B, C]}, "composite")
-    assert got == want
+@pytest.mark.parametrize("op", ["sum", "avg", "max", "min"])
+def test_composites(spark, op):
+    parts = {k: irregular(i, nulls=0.2) for i, k in enumerate("ABC", 31)}
+    table = pd.concat(parts, axis=1).sort_index()
+    want = getattr(table, {"avg": "mean"}.get(op, op))(axis=1)
+    same(ev(spark, {k: rows_of(v) for k, v in parts.items()}, {"op": op, "operands": [A, B, C]}, "composite"), want)
 
 
 @pytest.mark.parametrize("op,want", [("sum", 0.0), ("avg", None), ("max", None), ("min", None)])
@@ -105,29 +122,21 @@ def test_composite_all_null_row(spark, op, want):
     assert got[1] == (1.0 if op == "min" else math.inf)
 
 
-def test_nested_multiply_plus(spark):
-    e = {"op": "add", "left": {"op": "multiply", "left": A, "right": B}, "right": C}
-    got = ev(spark, {"A": [10.0, 20.0, 30.0], "B": [2.0, 4.0, 6.0], "C": [1.0, 2.0, 3.0]}, e, "series_math")
-    assert got == [21, 82, 183]
-
-
-def test_nested_avg_plus_series(spark):
-    e = {"op": "add", "left": {"op": "avg", "operands": [A, B]}, "right": C}
-    got = ev(spark, {"A": [1.0, 2.0, 3.0], "B": [4.0, 5.0, 6.0], "C": [7.0, 8.0, 9.0]}, e, "series_math")
-    assert got == [9.5, 11.5, 13.5]
+def test_nested_math_and_composite(spark):
+    parts = {k: irregular(i) for i, k in enumerate("ABC", 41)}
+    t = pd.concat(parts, axis=1).sort_index()
+    data = {k: rows_of(v) for k, v in parts.items()}
+    e = {"op": "subtract", "left": {"op": "multiply", "left": A, "right": B}, "right": C}
+    same(ev(spark, data, e, "series_math"), t.A * t.B - t.C)
+    e = {"op": "ratio", "left": {"op": "avg", "operands": [A, B]}, "right": C}
+    same(ev(spark, data, e, "series_math"), t[["A", "B"]].mean(axis=1) / t.C)
 
 
 @pytest.mark.parametrize("plan", PLANS, ids=lambda p: p.strategy)
-def test_nested_sma_of_lag(spark, plan):
-    e = {"op": "sma", "series": {"op": "lag", "series": A, "window": 1}, "window": 2}
-    got = ev(spark, {"A": [1.0, 2.0, 3.0, 4.0, 5.0]}, e, "window_op", plan)
-    assert got == [None, None, 1.5, 2.5, 3.5]
-
-
-def test_offset_calendars_outer_align(spark):
-    got = ev(spark, {"A": [1.0, 2.0, 3.0], "B": [4.0, 5.0, 6.0]}, {"op": "add", "left": A, "right": B},
-             "series_math", start={"B": 1})
-    assert got == [None, 6, 8, None]
+def test_nested_window_of_shift(spark, plan):
+    a = irregular(51, nulls=0)
+    e = {"op": "max", "series": {"op": "shift", "series": A, "window": 2}, "window": 3}
+    same(ev(spark, {"A": rows_of(a)}, e, "window_op", plan), a.shift(2).rolling(3, min_periods=3).max())
 
 
 @pytest.mark.parametrize("unique", [True, False])
@@ -140,10 +149,10 @@ def test_duplicates_multiply_in_join(spark, unique):
 
 
 def test_growth_self_alignment(spark):
-    e = {"op": "ratio", "left": {"op": "subtract", "left": A, "right": {"op": "lag", "series": A, "window": 2}},
-         "right": {"op": "lag", "series": A, "window": 2}, "scale": 100}
-    got = ev(spark, {"A": [1.0, 2.0, 4.0, 8.0]}, e, "series_math")
-    assert got == [None, None, 300, 300]
+    a = irregular(61, n=50, span=50, nulls=0)
+    lag = {"op": "lag", "series": A, "window": 7}
+    e = {"op": "ratio", "left": {"op": "subtract", "left": A, "right": lag}, "right": lag, "scale": 100}
+    same(ev(spark, {"A": rows_of(a)}, e, "series_math"), a.pct_change(7, fill_method=None) * 100)
 
 
 # ----------------------------------------------------------------- errors ---
