@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tidemark.model import OBS_TIME, VALUE
 from tidemark.plans.batch import evaluate_requests
-from tidemark.registry import ORACLE, QUERIES, register
+from tidemark.plans.compile import evaluate
+from tidemark.registry import E_SQL, O_SQL, ORACLE, QUERIES, register
 from tidemark.registry_runs import _req_sql, requests
 from tidemark.session import scratch_folder
 from tidemark.sinks import ledger as LG
@@ -27,10 +28,14 @@ scratch = scratch_folder
 
 
 def store_events(spark: SparkSession, sf: str, root: str) -> str:
-    """Write events as stored observations ``{root}/series=X/year=Y/month=M``
-    plus a dataset manifest listing the files; returns the manifest path."""
     ev = D.table(spark, sf, "events").select(
         F.col("ts").alias("obs_time"), "value", F.col("event_type").alias("internal_series_code"))
+    return store(spark, ev, root, "events_store")
+
+
+def store(spark: SparkSession, ev: DataFrame, root: str, dataset_id: str) -> str:
+    """Write stored observations ``{root}/projections/series=X/year=Y/month=M``
+    plus a dataset manifest listing the files; returns the manifest path."""
     data = f"{root}/projections"
     (ev.withColumn("series", F.col("internal_series_code"))
      .withColumn("year", F.year("obs_time")).withColumn("month", F.month("obs_time"))
@@ -41,7 +46,7 @@ def store_events(spark: SparkSession, sf: str, root: str) -> str:
     stats = ev.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("internal_series_code").alias("k"),
                    F.min("obs_time").alias("lo"), F.max("obs_time").alias("hi"))
     manifest = stats.crossJoin(rel.agg(F.sort_array(F.collect_list("f")).alias("files"))).select(
-        F.lit("v1").alias("version_id"), F.lit("events_store").alias("dataset_id"),
+        F.lit("v1").alias("version_id"), F.lit(dataset_id).alias("dataset_id"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"),
         F.date_format(F.current_date(), "yyyy-MM-dd").alias("collection_date"),
         F.col("n").alias("data_points_count"), F.col("k").alias("series_count"),
@@ -71,6 +76,26 @@ def manifest_scan(spark, sf):
     return SR.read_series(spark, catalog, wanted).df
 
 
+@register("cross_dataset_ratio",
+          f"WITH o AS (SELECT obs_time AS t, value AS v FROM ({O_SQL}) WHERE o_orderpriority = '1-URGENT'), "
+          f"e AS (SELECT obs_time AS t, value AS v FROM ({E_SQL}) WHERE code = 'view') "
+          "SELECT COALESCE(o.t, e.t) AS obs_time, ROUND(o.v / e.v, 4) AS value FROM o FULL JOIN e ON o.t = e.t")
+def cross_dataset_ratio(spark, sf):
+    """One expression over series of two stored datasets."""
+    catalog, wanted = [], []
+    for name, day, code, value, tab in (("events_store", "ts", "event_type", "value", "events"),
+                                        ("orders_store", "o_orderdate", "o_orderpriority", "o_totalprice", "orders")):
+        root = scratch(spark, name)
+        daily = D.table(spark, sf, tab).groupBy(F.col(day).cast("date").cast("timestamp_ntz").alias("obs_time"),
+                                                F.col(code).alias("internal_series_code")).agg(F.sum(value).alias("value"))
+        catalog.append((name, store(spark, daily, root, name), f"{root}/projections"))
+        wanted.append((name, "view" if tab == "events" else "1-URGENT"))
+    panel = SR.read_series(spark, spark.createDataFrame(catalog, "dataset_id string, manifest_path string, projections_path string"),
+                           spark.createDataFrame(wanted, "dataset_id string, series_code string"))
+    ratio = {"op": "ratio", "left": {"series_code": "1-URGENT"}, "right": {"series_code": "view"}}
+    return evaluate(ratio, "series_math", SR.one_panel(panel)).withColumn(VALUE, F.round(VALUE, 4))
+
+
 @register("jsonl_roundtrip", ORACLE["flagship_sma_ratio"])
 def jsonl_roundtrip(spark, sf):
     out = scratch(spark, "jsonl")

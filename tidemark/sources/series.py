@@ -9,10 +9,13 @@ code).  Duplicated times are kept (``unique=False``).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 
 from tidemark.functions.numeric import clean
 from tidemark.model import OBS_TIME, SERIES_CODE, VALUE, SeriesPanel
@@ -34,19 +37,22 @@ BROADCAST_MAX_ROWS = 200_000
 NANOS_CONF = "spark.sql.legacy.parquet.nanosAsLong"
 
 
-def stores_nanos(spark: SparkSession, path: str) -> bool:
-    """Files written from pandas carry ``TIMESTAMP(NANOS)``, which Spark
-    cannot read as a timestamp.  Looks at one footer; when it holds
-    nanoseconds, the session reads such columns as longs from then on
-    (a dataset's files are assumed to share one writer)."""
+def time_groups(spark: SparkSession, paths: list[str]) -> dict[bool, list[str]]:
+    """Files by whether they store nanoseconds (pandas writers do; Spark reads those
+    only as longs).  One parallel pass over the footers if all agree; files that
+    disagree are told apart by halving the list."""
+    spark.conf.set(NANOS_CONF, "true")
     try:
-        t = spark.read.parquet(path).schema["obs_time"].dataType
-        return isinstance(t, T.LongType) and spark.conf.get(NANOS_CONF, "false") == "true"
-    except AnalysisException as e:
-        if "NANOS" not in str(e):
+        t = spark.read.option("mergeSchema", "true").parquet(*paths).schema["obs_time"].dataType
+        return {isinstance(t, T.LongType): paths}
+    except (PySparkException, Py4JJavaError) as e:
+        if len(paths) == 1 or not re.search("CANNOT_MERGE|merging schema", str(e)):
             raise
-    spark.conf.set(NANOS_CONF, "true")
-    return True
+    out: dict[bool, list[str]] = {}
+    for half in (paths[:len(paths) // 2], paths[len(paths) // 2:]):
+        for nanos, some in time_groups(spark, half).items():
+            out.setdefault(nanos, []).extend(some)
+    return out
 
 
 class SeriesReadError(ValueError):
@@ -58,10 +64,15 @@ def scan_files(spark: SparkSession, paths: list[str], codes: list[str]) -> DataF
     if not paths:
         raise SeriesReadError(f"Series not found: {', '.join(codes)} (no parquet files)")
     try:
-        nanos = stores_nanos(spark, paths[0])
-        df = spark.read.schema(OBS_SCHEMA_NANOS if nanos else OBS_SCHEMA).parquet(*paths)
+        groups = time_groups(spark, sorted(paths))
+        frames = [_scan(spark, some, nanos, codes) for nanos, some in sorted(groups.items())]
     except AnalysisException as e:
         raise SeriesReadError(f"Series not found: {', '.join(codes)} (failed to open dataset from paths): {e}") from e
+    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+
+
+def _scan(spark: SparkSession, paths: list[str], nanos: bool, codes: list[str]) -> DataFrame:
+    df = spark.read.schema(OBS_SCHEMA_NANOS if nanos else OBS_SCHEMA).parquet(*paths)
     t = (F.timestamp_micros(F.floor(F.col("obs_time") / 1000)) if nanos else F.col("obs_time"))
     return (df.where(F.col("internal_series_code").isin(codes))
             .select(t.cast("timestamp_ntz").alias(OBS_TIME),
@@ -87,7 +98,7 @@ def read_series(spark: SparkSession, catalog: DataFrame, wanted: DataFrame,
     if validate:
         M.validate_manifests(manifests)
     files = M.series_files(manifests, wanted)
-    orphan = M.codes_without_files(wanted, files).limit(1).collect()
+    orphan = M.codes_without_files(wanted, files).limit(1).collect() if validate else []
     if orphan:
         raise SeriesReadError(f"Series not found: {orphan[0]['series_code']} "
                               f"(no parquet files in dataset {orphan[0]['dataset_id']})")
@@ -113,6 +124,17 @@ def read_series(spark: SparkSession, catalog: DataFrame, wanted: DataFrame,
     return SeriesPanel(tagged, ["dataset_id"], unique=False)
 
 
+def one_panel(panel: SeriesPanel) -> SeriesPanel:
+    """The series of several datasets side by side, so that one expression can
+    take its leaves from any of them.  A code that two datasets hold is an error: the
+    leaf would not say which is meant."""
+    twice = (panel.df.select("dataset_id", SERIES_CODE).distinct().groupBy(SERIES_CODE)
+             .agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).collect())
+    if twice:
+        raise SeriesReadError(f"Series code in more than one dataset: {twice[0][SERIES_CODE]}")
+    return SeriesPanel(panel.df.drop("dataset_id"), [k for k in panel.keys if k != "dataset_id"], panel.unique)
+
+
 def write_observations(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Write the stored long form with snappy compression."""
     w = df.select("obs_time", "value", "internal_series_code").write.mode("overwrite").option("compression", "snappy")
