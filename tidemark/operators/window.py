@@ -37,11 +37,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import uuid
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,21 +54,15 @@ _K, _B, _G, _C, _HALO = "__k", "__b", "__g", "__c", "__halo"
 _LO, _W = "__lo", "__w"
 _NULL_TIME_BUCKET = 1 << 62
 _DAY_US = 86_400_000_000
-# per-key / per-bucket tables are broadcast only under this proven row count
-SMALL_TABLE_MAX_ROWS = 2_000_000
 
 
 def _small(df: DataFrame, tag: str) -> DataFrame:
-    """Materialise a per-key or per-bucket table once (shared checkpoint
-    folder), counting its rows during the write.  It is broadcast only when
-    that count is within ``SMALL_TABLE_MAX_ROWS``; otherwise the join is a
-    shuffle join that AQE can skew-split.  Never the big side broadcast."""
+    """Materialise a per-key or per-bucket table once in the shared folder.  Its size
+    in bytes is then known to the planner, which chooses the join by it."""
     spark = df.sparkSession
     path = scratch_folder(spark, tag)
-    obs = Observation(f"tidemark_{tag}_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
-    out = spark.read.parquet(path)
-    return F.broadcast(out) if int(obs.get["n"]) <= SMALL_TABLE_MAX_ROWS else out
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 @dataclass(frozen=True)

@@ -33,7 +33,6 @@ OBS_SCHEMA_NANOS = T.StructType([
     T.StructField("value", T.DoubleType()),
     T.StructField("internal_series_code", T.StringType()),
 ])
-BROADCAST_MAX_ROWS = 200_000
 NANOS_CONF = "spark.sql.legacy.parquet.nanosAsLong"
 
 
@@ -108,8 +107,6 @@ def read_series(spark: SparkSession, catalog: DataFrame, wanted: DataFrame,
     obs = scan_files(spark, paths, codes)
     owners = plan.select(M.path_key(F.col("path")).alias("__file"), "dataset_id",
                          F.col("series_code").alias("internal_series_code"))
-    # (file, code) ownership: broadcast only under a known bound on its size
-    owners = F.broadcast(owners) if len(paths) * max(len(codes), 1) <= BROADCAST_MAX_ROWS else owners
     tagged = (obs.join(owners, ["__file", "internal_series_code"])
               .select("dataset_id", F.col("internal_series_code").alias(SERIES_CODE), OBS_TIME, VALUE))
     if validate:
