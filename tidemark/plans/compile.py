@@ -165,9 +165,10 @@ def missing_series(panel: SeriesPanel, codes: list[str]) -> list[str]:
 
 
 def evaluate(expression, expression_type, panel: SeriesPanel,
-             plan: W.WindowPlan | None = None, check_series: bool = False) -> DataFrame:
+             plan: W.WindowPlan | None = None, check_series: bool = True) -> DataFrame:
     """Validate on the driver, then return the lazy result DataFrame
-    ``keys, obs_time, value``."""
+    ``keys, obs_time, value``.  A leaf without any row in the panel is an error (one
+    pruned pass over the codes); ``check_series=False`` takes it as all NULL."""
     codes = X.validate(expression, expression_type)
     if check_series and codes:
         missing = missing_series(panel, codes)

@@ -169,3 +169,18 @@ def request_stream(spark, sf):
                   lambda _todo: D.event_types(spark, sf))
     return (LG.read_ledger(spark, f"{root}/ledger").where("status <> 'STARTED'")
             .select("run_id", "metric_code", "status", "row_count", "error"))
+
+
+@register("output_manifest", f"""SELECT 'run-1' AS run_id, 'flagship' AS metric_code, COUNT(*) AS row_count, TRUE AS has_files,
+  TRUE AS ok FROM ({ORACLE["flagship_sma_ratio"]})""")
+def output_manifest(spark, sf):
+    """Ordered output, its version manifest, checks, then ``current``."""
+    version = OUT.version_ts()
+    paths = OUT.output_paths(scratch(spark, "out"), version, "run-1")
+    rows = OUT.write_jsonl(OUT.sorted_result(QUERIES["flagship_sma_ratio"](spark, sf), []), paths["data"])
+    manifest = OUT.build_manifest(spark, "run-1", "flagship", version, rows, paths["data"], OUT.written_files(spark, paths["data"]))
+    OUT.write_manifest(manifest, paths["manifest"])
+    checked = LG.manifest_checks(spark.read.schema(manifest.schema).json(paths["manifest"]))
+    OUT.write_manifest(checked.where("ok").drop("ok", "error"), paths["current"])
+    current = LG.manifest_checks(spark.read.schema(manifest.schema).json(paths["current"]))
+    return current.select("run_id", "metric_code", "row_count", (F.size("outputs.files") > 0).alias("has_files"), "ok")
