@@ -280,7 +280,10 @@ def test_near_equals_all_pairs(spark, empty, monkeypatch):
         for j in rng.choice(120, 4 + c % 3, replace=False):
             w[j] = rng.choice(vocab)
         data.append((len(data), " ".join(w)))
+    for c in range(45):  # short texts of one pattern: one list, and few of them linked
+        data.append((len(data), f"dear reader your order number is now {c // 2} on its way{' x' * (c % 2)}"))
     monkeypatch.setattr(near, "BLOCK_ITEMS", 3000)
+    monkeypatch.setattr(near, "BLOCK_SETS", 10)
     df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
     got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows(near.near_dedup(df, 4)))
     assert got == sorted(plain_components(data, 4))

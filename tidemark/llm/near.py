@@ -45,6 +45,7 @@ BASE = 0x9E3779B97F4A7C15 | 1
 MULTIPLIERS = [0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD, 0x165667B19E3779F9, 0xA0761D6478BD642F]
 BROADCAST_IDS = 2_000_000
 BLOCK_ITEMS = 200_000
+BLOCK_SETS = 2_000
 
 _tables: dict = {}
 
@@ -205,13 +206,15 @@ def block_links(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     sets; of the links between two components in a block pair, one.
 
     A node belongs to the block of its value with the longest list, large blocks being
-    cut to about BLOCK_ITEMS shingles.  Two blocks meet if a list has members in both, so
+    cut to about BLOCK_ITEMS shingles and BLOCK_SETS sets (a task counts common shingles
+    in a square table of two blocks' sets).  Two blocks meet if a list has members in both, so
     a node is sent once per partner block, not once per list."""
     sizes = lists.groupBy("value").agg(F.count(F.lit(1)).alias("m"))
     own = lists.join(sizes, "value").groupBy("node").agg(
         F.max(F.struct("m", "value")).alias("p"), F.first("n").alias("n"), F.first("label").alias("label"))
     own = own.withColumn("p", F.col("p.value"))
-    cuts = own.groupBy("p").agg(F.ceil(F.sum("n") / BLOCK_ITEMS).cast("int").alias("cuts"))
+    cuts = own.groupBy("p").agg(
+        F.greatest(F.ceil(F.sum("n") / BLOCK_ITEMS), F.ceil(F.count(F.lit(1)) / BLOCK_SETS)).cast("int").alias("cuts"))
     block = F.concat_ws(":", "p", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("string"))
     own = stored(own.join(cuts, "p").select("node", "n", "label", block.alias("block")), "near-blocks")
     seen = stored(lists.join(own.select("node", "block"), "node").select("value", "block").distinct(), "near-block-lists")
