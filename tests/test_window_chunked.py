@@ -9,6 +9,9 @@ import pandas as pd
 import pytest
 
 from tidemark.model import as_panel
+from pyspark.sql import functions as F
+
+from tidemark.operators import window as W
 from tidemark.operators.window import WindowPlan
 from tidemark.plans.compile import evaluate
 
@@ -74,3 +77,22 @@ def test_matches_pandas(spark, panel_data, op, n, plan):
             assert gv == wv
         else:
             assert abs(gv - wv) <= 1e-9 * max(1.0, abs(wv)), (gk, gt, gv, wv)
+
+
+@pytest.mark.parametrize("when", ["outlier", "instant", "equal", "null"])
+def test_buckets_are_even(spark, when):
+    """One key with an outlier date, all rows at one instant, all rows equal, or null times."""
+    start = datetime(2024, 1, 1)
+    rows = []
+    for i in range(5000):
+        t = {"outlier": start + timedelta(hours=i), "null": None}.get(when, start)
+        rows.append((datetime(1900, 1, 1) if when == "outlier" and i == 0 else t, 1.0 if when == "equal" else float(i * 7919 % 5000)))
+    df = spark.createDataFrame(rows, "obs_time timestamp_ntz, v double").withColumn("k", F.lit("hot"))
+    dealt = W._dealt(df, ["k"], WindowPlan("chunked", 100), W._order("v"))
+    sizes = [r["count"] for r in dealt.groupBy("__b").count().collect()]
+    assert sum(sizes) == 5000 and max(sizes) <= 200
+    # places follow (key, time, value) over the buckets
+    got = [r["v"] for r in dealt.orderBy("__b", "__p").collect()]
+    assert got == [r[1] for r in sorted(rows, key=lambda r: (r[0] or start, r[1]))]
+    out = W.shift(df, ["k"], "v", 1, "before", WindowPlan("chunked", 100)).collect()
+    assert len(out) == 5000 and sum(r["before"] is None for r in out) == 1

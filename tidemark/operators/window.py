@@ -10,27 +10,31 @@ Physical strategies (``auto`` picks one per evaluation):
     one task.  Fine for many small series.
 ``chunked`` (default)
     survives a hot series (one key holding a large share of all rows).
-    Rows get an adaptive per-key *time bucket* sized to ``chunk_rows``
-    rows (a small per-key stats table, broadcast by AQE when small).  Then:
+    ``_dealt`` writes the rows once, range-partitioned and sorted by
+    (key, time, value, row): contiguous *buckets* of about ``chunk_rows`` rows with
+    boundaries from a sample of the data, so outlier dates, one dominant
+    instant, equal rows and null times are split like any others.  Then:
 
     * rolling sum/avg/max/min and positional shift: a per-key ordinal
       ``g`` = bucket offset (prefix sum over the small bucket-count table)
-      + row number inside the bucket; rows are re-cut into fixed chunks
+      + place in the bucket; rows are re-cut into fixed chunks
       ``g div C`` and the last ``n-1`` rows of each chunk are copied as a
       halo into the next chunk, so each window sees its whole frame;
-    * calendar lag (as-of backward): each row looks up ``t - N days`` in the
-      bucket of that target time, and a carry (last observation of all
-      earlier buckets, from the small bucket table) fills empty prefixes;
+    * calendar lag (as-of backward): every row is dealt twice, at its time
+      and, as a question, at ``t - N days``; a question takes the last
+      observation ahead of it in its bucket, else the carry (last observation of
+      all earlier buckets, from the small bucket table);
     * ema: an exact sequential pass per bucket (pandas ``ewm``, the same
       primitive the semantics are defined by), with the state entering each
       bucket folded from per-bucket affine summaries.
 
-No step puts a whole series into one task or onto the driver.
+No step puts a whole series into one task or onto the driver.  The bucketed rows and the
+small tables are written while the plan is built (they are jobs of their own).
 
 ``auto`` (default) runs one small aggregate — the largest number of panel
-rows under one key — and uses ``partition`` when that is within
+rows under one key — and uses ``partition`` when times are unique and that is within
 ``chunk_rows`` (every series fits a task with room to spare), else
-``chunked``.  Same idea as a size-checked broadcast.
+``chunked``.  Both give the same rows.
 """
 
 from __future__ import annotations
@@ -51,8 +55,8 @@ from tidemark.session import scratch_folder
 ROLLING_AGGS = ("sma", "sum", "max", "min")
 
 _K, _B, _G, _C, _HALO = "__k", "__b", "__g", "__c", "__halo"
-_LO, _W = "__lo", "__w"
-_NULL_TIME_BUCKET = 1 << 62
+_U, _P = "__u", "__p"
+_PLACE_BITS = 33  # of monotonically_increasing_id: the record number within a partition
 _DAY_US = 86_400_000_000
 
 
@@ -78,12 +82,14 @@ class WindowPlan:
         return cls(spark.conf.get("spark.tidemark.window.strategy", "auto"),
                    int(spark.conf.get("spark.tidemark.window.chunkRows", "1000000")))
 
-    def resolve(self, panel_df: DataFrame, keys: list[str]) -> "WindowPlan":
-        """Concrete strategy for a panel: ``partition`` only when no key
-        holds more than ``chunk_rows`` rows (any derived frame holds at most
-        its key's panel rows)."""
+    def resolve(self, panel_df: DataFrame, keys: list[str], unique: bool = True) -> "WindowPlan":
+        """Concrete strategy for a panel: ``partition`` only when its times are unique
+        per series and no key holds more than ``chunk_rows`` rows (a derived frame
+        then holds at most its key's panel rows; duplicate times multiply them)."""
         if self.strategy != "auto":
             return self
+        if not unique:
+            return WindowPlan("chunked", self.chunk_rows)
         biggest = (panel_df.groupBy(*keys).count().agg(F.max("count")).collect()[0][0]) or 0
         return WindowPlan("partition" if biggest <= self.chunk_rows else "chunked", self.chunk_rows)
 
@@ -103,34 +109,27 @@ def _key(keys: list[str]) -> Column:
     return F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("_"))
 
 
-def _bucketed(df: DataFrame, keys: list[str], plan: WindowPlan) -> DataFrame:
-    """Add ``__k`` (struct key), ``__lo``/``__w`` (bucket origin and width in
-    µs) and ``__b`` (bucket id): ~``chunk_rows`` rows per bucket."""
-    df = df.withColumn(_K, _key(keys))
-    stats = (df.groupBy(_K)
-             .agg(F.count(F.lit(1)).alias("__n"), F.min(_t_us()).alias(_LO), F.max(_t_us()).alias("__hi"))
-             .select(_K, F.coalesce(F.col(_LO), F.lit(0)).alias(_LO),
-                     F.greatest(F.lit(1.0), (F.col("__hi") - F.col(_LO) + 1).cast("double")
-                                * F.lit(float(plan.chunk_rows)) / F.col("__n")).alias(_W)))
-    df = df.join(_small(stats, "keystats"), _K)
-    return df.withColumn(_B, _bucket_of(_t_us()))
+def _dealt(df: DataFrame, keys: list[str], plan: WindowPlan, order: list[Column]) -> DataFrame:
+    """The rows with ``__k`` (struct key), ``__b`` (bucket: a contiguous range of
+    (key, *order) of about ``chunk_rows`` rows, numbered in that order) and ``__p`` (place in
+    the bucket).  Rows are numbered in a written table first: equal rows can then be
+    split, and a lost task deals its rows as it did before."""
+    rows = _small(df.withColumn(_K, _key(keys)).withColumn(_U, F.monotonically_increasing_id()), "rows")
+    buckets = max(1, -(-rows.count() // plan.chunk_rows))
+    by = [F.col(_K), *order, F.col(_U)]
+    # partition number and place in the partition
+    at = rows.repartitionByRange(buckets, *by).sortWithinPartitions(*by).withColumn("__at", F.monotonically_increasing_id())
+    return _small(at.withColumn(_B, F.shiftright("__at", _PLACE_BITS))
+                  .withColumn(_P, F.col("__at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))).drop("__at", _U), "buckets")
 
 
-def _bucket_of(t_us: Column) -> Column:
-    return (F.when(t_us.isNull(), F.lit(_NULL_TIME_BUCKET))
-            .otherwise(F.floor((t_us - F.col(_LO)).cast("double") / F.col(_W)).cast("long")))
-
-
-def _with_ordinal(df: DataFrame, value_col: str) -> DataFrame:
+def _with_ordinal(base: DataFrame) -> DataFrame:
     """Add ``__g``: 0-based row position inside the key (skew-safe)."""
-    local = Window.partitionBy(_K, _B).orderBy(*_order(value_col))
-    df = df.withColumn("__i", F.row_number().over(local) - 1)
-    counts = df.groupBy(_K, _B).agg(F.count(F.lit(1)).alias("__cnt"))
+    counts = base.groupBy(_K, _B).agg(F.count(F.lit(1)).alias("__cnt"), F.min(_P).alias("__first"))
     prior = Window.partitionBy(_K).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = _small(counts.select(_K, _B, F.coalesce(F.sum("__cnt").over(prior), F.lit(0)).alias("__off")),
-                     "offsets")
-    return (df.join(offsets, [_K, _B])
-            .withColumn(_G, F.col("__off") + F.col("__i")).drop("__off", "__i"))
+    offsets = _small(counts.select(
+        _K, _B, (F.coalesce(F.sum("__cnt").over(prior), F.lit(0)) - F.col("__first")).alias("__off")), "offsets")
+    return base.join(offsets, [_K, _B]).withColumn(_G, F.col("__off") + F.col(_P)).drop("__off")
 
 
 def _halo_chunks(df: DataFrame, halo: int, plan: WindowPlan) -> tuple[DataFrame, int]:
@@ -168,7 +167,7 @@ def rolling(df: DataFrame, keys: list[str], col: str, n: int, agg: str, out: str
     if plan.strategy == "partition":
         w = Window.partitionBy(*keys).orderBy(*_order(col)).rowsBetween(-(n - 1), 0)
         return df.withColumn(out, _rolling_expr(agg, x, w, n))
-    base = _with_ordinal(_bucketed(df, keys, plan), col)
+    base = _with_ordinal(_dealt(df, keys, plan, _order(col)))
     chunks, _ = _halo_chunks(base, n - 1, plan)
     w = Window.partitionBy(_K, _C).orderBy(_G).rowsBetween(-(n - 1), 0)
     res = chunks.withColumn(out, _rolling_expr(agg, x, w, n)).where(~F.col(_HALO))
@@ -181,7 +180,7 @@ def shift(df: DataFrame, keys: list[str], col: str, n: int, out: str,
     plan = plan or WindowPlan.from_session()
     if plan.strategy == "partition":
         return df.withColumn(out, F.lag(col, n).over(Window.partitionBy(*keys).orderBy(*_order(col))))
-    base = _with_ordinal(_bucketed(df, keys, plan), col)
+    base = _with_ordinal(_dealt(df, keys, plan, _order(col)))
     chunks, _ = _halo_chunks(base, n, plan)
     res = (chunks.withColumn(out, F.lag(col, n).over(Window.partitionBy(_K, _C).orderBy(_G)))
            .where(~F.col(_HALO)))
@@ -207,22 +206,21 @@ def calendar_lag(df: DataFrame, keys: list[str], col: str, days: int, out: str,
              .rangeBetween(Window.unboundedPreceding, -days * _DAY_US))
         return df.withColumn(out, _null_time_guard(F.max(obs).over(w)["v"]))
 
-    base = _bucketed(df, keys, plan)
-    data = base.select(_K, _B, F.col(OBS_TIME).alias("__t"), F.lit(0).alias("__kind"), obs.alias("__obs"))
-    target_us = _t_us() - F.lit(days * _DAY_US)
-    probes = (base.withColumn("__t", F.col(OBS_TIME) - F.expr(f"INTERVAL {int(days)} DAYS"))
-              .withColumn(_B, _bucket_of(target_us)).withColumn("__kind", F.lit(1)))
-    both = probes.unionByName(data, allowMissingColumns=True)
-    w_in = (Window.partitionBy(_K, _B).orderBy(F.col("__t").asc_nulls_last(), F.col("__kind"))
-            .rowsBetween(Window.unboundedPreceding, 0))
-    both = both.withColumn("__in", F.max(F.when(F.col("__kind") == 0, F.col("__obs"))).over(w_in))
-    last_per_bucket = both.groupBy(_K, _B).agg(
-        F.max(F.when(F.col("__kind") == 0, F.col("__obs"))).alias("__last"))
+    asks = F.col("__kind") == 1
+    both = df.withColumn("__kind", F.explode(F.array(F.lit(0), F.lit(1))))
+    both = both.select(
+        *keys, "__kind", *[F.when(asks, F.col(c)).alias(c) for c in df.columns if c not in keys],
+        F.when(asks, F.col(OBS_TIME) - F.expr(f"INTERVAL {int(days)} DAYS")).otherwise(F.col(OBS_TIME)).alias("__t"),
+        F.when(~asks, obs).alias("__obs"))
+    both = _dealt(both, keys, plan, [F.col("__t").asc_nulls_last(), F.col("__kind"), F.col("__obs.v")])
+    w_in = Window.partitionBy(_K, _B).orderBy(_P).rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("__in", F.max("__obs").over(w_in))
+    last_per_bucket = both.groupBy(_K, _B).agg(F.max("__obs").alias("__last"))
     prior = Window.partitionBy(_K).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     carry = _small(last_per_bucket.select(_K, _B, F.max("__last").over(prior).alias("__carry")), "lagcarry")
-    res = (both.where(F.col("__kind") == 1).join(carry, [_K, _B], "left")
+    res = (both.where(asks).join(carry, [_K, _B], "left")
            .withColumn(out, _null_time_guard(F.coalesce(F.col("__in"), F.col("__carry"))["v"])))
-    return _drop_internal(res)
+    return res.select(*df.columns, out)
 
 
 # ---------------------------------------------------------------- ema ----
@@ -231,28 +229,16 @@ def _alpha(span: int) -> float:
     return 2.0 / (span + 1.0)
 
 
-def _settle_steps(span: int) -> int:
-    """Multiplications of 1.0 by (1-alpha) until the product stops changing
-    (0.0, or the smallest subnormal when 1-alpha > 0.5).  A gap longer than
-    this leaves the same ewm state, so it can be replayed at this length."""
-    f, w, k = 1.0 - _alpha(span), 1.0, 0
-    while True:
-        nxt = w * f
-        k += 1
-        if nxt == w:
-            return k
-        w = nxt
-
-
 def _ewm(values: np.ndarray, span: int) -> np.ndarray:
     # pandas exponential mean, adjust=False, ignore_na=False (the defining primitive)
     return pd.Series(values, dtype="float64").ewm(span=span, adjust=False).mean().to_numpy()
 
 
-def _sorted_x(pdf: pd.DataFrame, col: str) -> tuple[pd.DataFrame, np.ndarray]:
+def _sorted_x(pdf: pd.DataFrame, col: str, place: str | None = None) -> tuple[pd.DataFrame, np.ndarray]:
+    """Rows by ``place`` if given, else by time and value, with their finite values."""
     x = pdf[col].to_numpy(dtype="float64", na_value=np.nan)
     x = np.where(np.isfinite(x), x, np.nan)
-    pdf = pdf.assign(__x=x).sort_values([OBS_TIME, "__x"], na_position="last", kind="mergesort")
+    pdf = pdf.assign(__x=x).sort_values([place] if place else [OBS_TIME, "__x"], na_position="last", kind="mergesort")
     return pdf, pdf["__x"].to_numpy()
 
 
@@ -273,12 +259,12 @@ def ema(df: DataFrame, keys: list[str], col: str, span: int, out: str,
             return pdf[cols].assign(**{out: _ewm(x, span)})
         return df.groupBy(*keys).applyInPandas(whole, out_schema)
 
-    base = _bucketed(df, keys, plan)
+    base = _dealt(df, keys, plan, [F.col(OBS_TIME).asc_nulls_last(), finite(F.col(col)).asc_nulls_last()])
     alpha, fct = _alpha(span), 1.0 - _alpha(span)
     gkeys = [*keys, _B]
 
     def summary(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, x = _sorted_x(pdf, col)
+        pdf, x = _sorted_x(pdf, col, _P)
         valid = np.flatnonzero(~np.isnan(x))
         row = pdf.iloc[:1][gkeys].copy()
         row["__rows"] = len(x)
@@ -299,7 +285,7 @@ def ema(df: DataFrame, keys: list[str], col: str, span: int, out: str,
         T.StructField("__rows", T.LongType()), T.StructField("__f", T.LongType()),
         T.StructField("__xf", T.DoubleType()), T.StructField("__a", T.DoubleType()),
         T.StructField("__bb", T.DoubleType()), T.StructField("__tail", T.LongType())])
-    summaries = base.select(*gkeys, OBS_TIME, col).groupBy(*gkeys).applyInPandas(summary, sum_schema)
+    summaries = base.select(*gkeys, _P, col).groupBy(*gkeys).applyInPandas(summary, sum_schema)
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         # sequential over the (few) buckets of one key: state entering each bucket
@@ -325,14 +311,19 @@ def ema(df: DataFrame, keys: list[str], col: str, span: int, out: str,
         T.StructField("__yin", T.DoubleType()), T.StructField("__gin", T.LongType())])
     carry = _small(summaries.groupBy(*keys).applyInPandas(fold, carry_schema).withColumn(_K, _key(keys)),
                    "emacarry")
-    settle = _settle_steps(span)
 
     def finish(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, x = _sorted_x(pdf, col)
+        pdf, x = _sorted_x(pdf, col, _P)
         y_in, g_in = pdf["__yin"].iloc[0], pdf["__gin"].iloc[0]
-        prefix = [] if pd.isna(y_in) else [float(y_in)] + [np.nan] * int(min(g_in, settle))
-        res = _ewm(np.concatenate([prefix, x]), span)[len(prefix):]
+        res, valid = np.full(len(x), np.nan if pd.isna(y_in) else float(y_in)), np.flatnonzero(~np.isnan(x))
+        if len(valid):
+            f0 = int(valid[0])
+            if not pd.isna(y_in):  # the first value meets the state, decayed over all rows between
+                ow = fct ** (int(g_in) + f0 + 1)
+                x = x.copy()
+                x[f0] = (ow * y_in + alpha * x[f0]) / (ow + alpha)
+            res[f0:] = _ewm(x[f0:], span)
         return pdf[cols].assign(**{out: res})
 
-    joined = base.join(carry.drop(*keys), [_K, _B], "left").drop(_K, _LO, _W)
+    joined = base.join(carry.drop(*keys), [_K, _B], "left").drop(_K)
     return joined.groupBy(*gkeys).applyInPandas(finish, out_schema)

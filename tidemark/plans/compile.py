@@ -129,7 +129,7 @@ class Compiler:
         n = X.check_window(node)
         src = self.operand(node.get("series"))
         frame, out = src.frame, self._fresh()
-        self.plan = self.plan.resolve(self.panel.df, self.keys)  # once, on first window op
+        self.plan = self.plan.resolve(self.panel.df, self.keys, self.panel.unique)  # once, on first window op
         if op in W.ROLLING_AGGS:
             frame.df = W.rolling(frame.df, self.keys, src.col, n, op, out, self.plan)
         elif op == "ema":

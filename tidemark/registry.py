@@ -308,6 +308,10 @@ def flagship_sma_ratio(spark, sf):
 HOT_CHUNK = WindowPlan("chunked", 4096)
 LI_SQL = ("SELECT l_returnflag, CAST(l_shipdate AS TIMESTAMP) AS obs_time, l_extendedprice AS value "
           "FROM lineitem")
+# the same lines with one outlier date and, for 'N', most lines at one instant
+UNEVEN_SQL = ("SELECT l_returnflag, CASE WHEN l_orderkey = 1 THEN TIMESTAMP '1900-01-01' "
+              "WHEN l_returnflag = 'N' AND l_linenumber <= 4 THEN TIMESTAMP '1996-02-29' "
+              "ELSE CAST(l_shipdate AS TIMESTAMP) END AS obs_time, l_extendedprice AS value FROM lineitem")
 
 
 def lineitem_lines(spark, sf) -> SeriesPanel:
@@ -316,29 +320,39 @@ def lineitem_lines(spark, sf) -> SeriesPanel:
                     "l_extendedprice", unique=False)
 
 
-def _hot_q(op: str, n: int, places: int):
+def uneven_lines(spark, sf) -> SeriesPanel:
+    from tidemark.model import as_panel
+    at = F.expr("CASE WHEN l_orderkey = 1 THEN TIMESTAMP_NTZ'1900-01-01 00:00:00' "
+                "WHEN l_returnflag = 'N' AND l_linenumber <= 4 THEN TIMESTAMP_NTZ'1996-02-29 00:00:00' "
+                "ELSE CAST(l_shipdate AS TIMESTAMP_NTZ) END")
+    return as_panel(D.table(spark, sf, "lineitem").withColumn("at", at), ["l_returnflag"], F.lit("line"), "at",
+                    "l_extendedprice", unique=False)
+
+
+def _hot_q(lines, op: str, n: int, places: int):
     e = {"op": op, "series": leaf("line"), "window": n}
 
     def q(spark, sf):
-        return rounded(evaluate(e, "window_op", lineitem_lines(spark, sf), plan=HOT_CHUNK), places)
+        return rounded(evaluate(e, "window_op", lines(spark, sf), plan=HOT_CHUNK), places)
     return q
 
 
-register("hot_key_sum_30",
-         f"WITH s AS ({LI_SQL}) SELECT l_returnflag, obs_time, ROUND(CASE WHEN COUNT(value) OVER w = 30 "
-         "THEN SUM(value) OVER w END, 2) AS value FROM s WINDOW w AS (PARTITION BY l_returnflag "
-         "ORDER BY obs_time, value ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)")(_hot_q("sum", 30, 2))
-register("hot_key_max_100",
-         f"WITH s AS ({LI_SQL}) SELECT l_returnflag, obs_time, ROUND(CASE WHEN COUNT(value) OVER w = 100 "
-         "THEN MAX(value) OVER w END, 2) AS value FROM s WINDOW w AS (PARTITION BY l_returnflag "
-         "ORDER BY obs_time, value ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)")(_hot_q("max", 100, 2))
-register("hot_key_shift_3",
-         f"WITH s AS ({LI_SQL}) SELECT l_returnflag, obs_time, ROUND(LAG(value, 3) OVER (PARTITION BY "
-         "l_returnflag ORDER BY obs_time, value), 2) AS value FROM s")(_hot_q("shift", 3, 2))
-register("hot_key_lag_7",
-         f"WITH s AS ({LI_SQL}), d AS (SELECT l_returnflag, obs_time, MAX(value) AS mv FROM s GROUP BY ALL) "
-         "SELECT s.l_returnflag, s.obs_time, ROUND(d.mv, 2) AS value FROM s ASOF LEFT JOIN d "
-         "ON s.l_returnflag = d.l_returnflag AND s.obs_time - INTERVAL 7 DAY >= d.obs_time")(_hot_q("lag", 7, 2))
-register("hot_key_ema_20", ema_sql(20, LI_SQL, "l_returnflag").replace(
-    "ROW_NUMBER() OVER (PARTITION BY l_returnflag ORDER BY obs_time)",
-    "ROW_NUMBER() OVER (PARTITION BY l_returnflag ORDER BY obs_time, value)"))(_hot_q("ema", 20, 2))
+for _name, _lines, _sql in (("hot_key", lineitem_lines, LI_SQL), ("uneven", uneven_lines, UNEVEN_SQL)):
+    register(f"{_name}_sum_30",
+             f"WITH s AS ({_sql}) SELECT l_returnflag, obs_time, ROUND(CASE WHEN COUNT(value) OVER w = 30 "
+             "THEN SUM(value) OVER w END, 2) AS value FROM s WINDOW w AS (PARTITION BY l_returnflag "
+             "ORDER BY obs_time, value ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)")(_hot_q(_lines, "sum", 30, 2))
+    register(f"{_name}_max_100",
+             f"WITH s AS ({_sql}) SELECT l_returnflag, obs_time, ROUND(CASE WHEN COUNT(value) OVER w = 100 "
+             "THEN MAX(value) OVER w END, 2) AS value FROM s WINDOW w AS (PARTITION BY l_returnflag "
+             "ORDER BY obs_time, value ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)")(_hot_q(_lines, "max", 100, 2))
+    register(f"{_name}_shift_3",
+             f"WITH s AS ({_sql}) SELECT l_returnflag, obs_time, ROUND(LAG(value, 3) OVER (PARTITION BY "
+             "l_returnflag ORDER BY obs_time, value), 2) AS value FROM s")(_hot_q(_lines, "shift", 3, 2))
+    register(f"{_name}_lag_7",
+             f"WITH s AS ({_sql}), d AS (SELECT l_returnflag, obs_time, MAX(value) AS mv FROM s GROUP BY ALL) "
+             "SELECT s.l_returnflag, s.obs_time, ROUND(d.mv, 2) AS value FROM s ASOF LEFT JOIN d "
+             "ON s.l_returnflag = d.l_returnflag AND s.obs_time - INTERVAL 7 DAY >= d.obs_time")(_hot_q(_lines, "lag", 7, 2))
+    register(f"{_name}_ema_20", ema_sql(20, _sql, "l_returnflag").replace(
+        "ROW_NUMBER() OVER (PARTITION BY l_returnflag ORDER BY obs_time)",
+        "ROW_NUMBER() OVER (PARTITION BY l_returnflag ORDER BY obs_time, value)"))(_hot_q(_lines, "ema", 20, 2))
