@@ -178,11 +178,14 @@ def error_codes(spark, sf):
 
 
 @register("run_stats", f"SELECT status, CASE WHEN status = 'FAILURE' THEN split_part(error, ':', 1) END AS error_code, "
-          "COUNT(*) AS runs, " + ", ".join(
+          "COUNT(*) AS runs, COUNT(*) FILTER (status = 'STARTED') AS started, " + ", ".join(
               f"SUM(CASE WHEN epoch(finished_at) - epoch(started_at) <= {b} THEN 1 ELSE 0 END) AS le_{b}s"
-              for b in LG.DURATION_BUCKETS) + f" FROM ({LEDGER_SQL}) GROUP BY ALL")
+              for b in LG.DURATION_BUCKETS) + ", " + ", ".join(
+              f"COUNT(*) FILTER (status = 'SUCCESS' AND o_custkey * 100000 <= {b} * 1048576) AS le_{LG.mb_name(b)}mb"
+              for b in LG.MB_BUCKETS) + f" FROM ({LEDGER_SQL}) GROUP BY ALL")
 def run_stats(spark, sf):
-    return LG.run_stats(ledger(spark, sf).drop("o_custkey"))
+    wrote = F.when(F.col("status") == "SUCCESS", F.col("o_custkey").cast("long") * 100000)
+    return LG.run_stats(ledger(spark, sf).withColumn("write_bytes", wrote))
 
 
 def manifests(spark: SparkSession, sf: str) -> DataFrame:
