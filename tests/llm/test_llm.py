@@ -120,6 +120,24 @@ def test_language_id(spark, docs, empty):
     assert langid.train(docs.withColumn("lang", F.lit(None).cast("string"))).judge("abc") == ("und", 0.0)
 
 
+def test_language_sample_is_bounded_whatever_the_ids(spark, monkeypatch):
+    data = [(None, f"null {chr(97 + i % 26)} {chr(97 + i // 26)}", "aa") for i in range(200)]
+    data += [(7, "one row that is repeated", "aa")] * 200 + [(1000 + i, f"other words {'xy' * (i + 1)}", "aa") for i in range(200)]
+    data += [(None, "12", "aa"), (None, None, "aa"), (None, "einmal", "bb"), (None, "einmal", "bb")]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string").repartition(5)
+    got = collections.Counter(r["lang"] for r in rows(langid.sample(df, 40, 64)))
+    assert got == {"aa": 40, "bb": 1}
+    learned = []
+    monkeypatch.setattr(langid, "fit", lambda samples, buckets: learned.extend(samples))
+    langid.train(df, 40, 1 << 13)
+    null, other = ({i for i, n in enumerate(langid.gram_counts(t, 1 << 13)) if n} for t in ("null", "other"))
+    aa = [set(idx.tolist()) for lang, idx, _ in learned if lang == "aa"]
+    assert len(aa) == 40 and any(null <= x for x in aa) and any(other <= x for x in aa)
+    everything = collections.Counter(r["lang"] for r in rows(langid.sample(df, 10_000, 64)))
+    usable = {(i, t, lang) for i, t, lang in data if t and t != "12" and (i is None or zlib.crc32(str(i).encode()) % 4 != 2)}
+    assert everything == collections.Counter(lang for *_, lang in usable)
+
+
 # --------------------------------------------------------------- quality ---
 def kneser_ney(texts):
     """Plain interpolated modified Kneser-Ney over characters, order 4."""

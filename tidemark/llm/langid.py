@@ -4,8 +4,8 @@ A text is lower-cased and cut into words of letters; the 1- to 4-grams of its
 words, with their boundaries, are hashed to buckets.  The average of the buckets'
 embeddings goes through a linear softmax.  Both layers are trained by stochastic
 gradient descent in numpy on a bounded sample: ``per_lang`` labelled rows of each
-language, the smallest by a hash.  A quarter of the sample only calibrates: a
-temperature makes the scores probabilities, and the rejection threshold is the
+language, the smallest by a hash of doc_id and text, chosen on Spark.  A quarter of
+the sample only calibrates: a temperature makes the scores probabilities, and the rejection threshold is the
 smaller of 1/2 and the score that ``reject`` of its rightly judged texts stay under.
 
 Executors score whole texts: the two layers fold into one bucket x language
@@ -13,7 +13,7 @@ table (bounded by the parameters), applied to bucket counts.
 
 Defined results: null text or text without a letter (``str.isalpha``) gives
 ``und`` with score 0; rows with null lang are not learned from; a null doc_id is
-not held out; repeated rows are judged alike; an empty table gives an empty
+not held out; repeated rows are judged alike and learned from once; an empty table gives an empty
 result; if no row can be learned from, every text is ``und``; columns besides
 doc_id, text and lang are ignored.  Languages are few: their names are collected.
 """
@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_batches
+from tidemark.llm.common import stored, text_batches
 
 UND = "und"
 
@@ -137,39 +137,75 @@ def fit(samples: list[tuple[str, np.ndarray, np.ndarray]], buckets: int, dim: in
     return Model(langs, (emb @ out / temperature).astype(np.float32), (bias / temperature).astype(np.float32), threshold, buckets)
 
 
-def train(docs: DataFrame, per_lang: int = 400, buckets: int = 1 << 13) -> Model:
-    """Learn from the rows that are not held out.  ``per_lang`` bounds the sample;
-    only bucket counts of it (whole texts) come to the driver."""
-    usable = docs.where(F.col("lang").isNotNull() & ~held_out())
-    sizes = usable.groupBy("lang").count().collect()
-    if not sizes:
-        return Model([], np.zeros((buckets, 0), np.float32), np.zeros(0, np.float32), 0.5, buckets)
-    share = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, 1.3 * per_lang / r["count"])) for r in sizes],
-                                              "lang string, share double")
-    at = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
-    some = (usable.select("lang", "text", at.alias("at")).join(F.broadcast(share), "lang")
-            .where((F.col("at") < F.col("share")) & F.col("text").isNotNull()).select("lang", "at", "text"))
+def smallest_places(places: DataFrame, per_lang: int) -> DataFrame:
+    """The ``per_lang`` smallest distinct places of each language: of every partition,
+    then merged in a tree, so no language is gathered."""
+    def run(batches):
+        import pyarrow as pa
+
+        kept: dict[str, set[int]] = {}
+        for b in batches:
+            for lang, place in zip(b.column("lang").to_pylist(), b.column("place").to_pylist()):
+                own = kept.setdefault(lang, set())
+                own.add(place)
+                if len(own) > 4 * per_lang:
+                    kept[lang] = set(sorted(own)[:per_lang])
+        found = [(lang, place) for lang, own in kept.items() for place in sorted(own)[:per_lang]]
+        yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int64())],
+                                         names=["lang", "place"])
+
+    parts = places.rdd.getNumPartitions()
+    df = places.mapInArrow(run, "lang string, place long")
+    while parts > 1:
+        parts = -(-parts // 32)
+        df = df.repartition(parts).mapInArrow(run, "lang string, place long")
+    return df
+
+
+def sample(docs: DataFrame, per_lang: int, buckets: int) -> DataFrame:
+    """lang, place, idx, n (bucket counts): of each language the ``per_lang`` rows with the
+    smallest places that are not held out and have a letter; rows that repeat one
+    doc_id and text share a place and come once."""
+    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
+    usable = usable.select("lang", F.xxhash64("doc_id", "text").alias("place"), "text")
+
+    def lettered(batches):
+        import pyarrow as pa
+
+        for whole in batches:
+            for b in text_batches(whole):
+                has = [any(map(str.isalpha, t.lower())) for t in b.column("text").to_pylist()]
+                yield b.select(["lang", "place"]).filter(pa.array(has, pa.bool_()))
+
+    # languages x per_lang rows of a name and a number
+    chosen = F.broadcast(stored(smallest_places(usable.mapInArrow(lettered, "lang string, place long"), per_lang), "lang-places"))
 
     def features(batches):
         import pyarrow as pa
 
+        seen = set()
         for whole in batches:
             for b in text_batches(whole):
-                rows = [(lang, at, gram_counts(t, buckets)) for lang, at, t in zip(*(b.column(i).to_pylist() for i in range(3)))]
-                rows = [(lang, at, np.flatnonzero(c), c[c > 0]) for lang, at, c in rows if c is not None]
+                rows = []
+                for lang, place, t in zip(*(b.column(c).to_pylist() for c in ("lang", "place", "text"))):
+                    if (lang, place) not in seen:
+                        seen.add((lang, place))
+                        rows.append((lang, place, gram_counts(t, buckets)))
+                rows = [(lang, place, np.flatnonzero(c), c[c > 0]) for lang, place, c in rows if c is not None]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.float64()),
+                    [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
                      pa.array([r[2].astype(np.int32).tobytes() for r in rows], pa.binary()),
-                     pa.array([r[3].astype(np.int32).tobytes() for r in rows], pa.binary())], names=["lang", "at", "idx", "n"])
-
-    got = some.mapInArrow(features, "lang string, at double, idx binary, n binary").collect()
-    got = sorted((r["lang"], r["at"], bytes(r["idx"]), bytes(r["n"])) for r in got)
-    seen: dict[str, int] = {}
-    samples = []
-    for lang, _, idx, n in got:
-        seen[lang] = seen.get(lang, 0) + 1
-        if seen[lang] <= per_lang:
-            samples.append((lang, np.frombuffer(idx, np.int32), np.frombuffer(n, np.int32).astype(float)))
+                     pa.array([r[3].astype(np.int32).tobytes() for r in rows], pa.binary())], names=["lang", "place", "idx", "n"])
+
+    found = usable.join(chosen, ["lang", "place"], "left_semi").mapInArrow(features, "lang string, place long, idx binary, n binary")
+    return found.groupBy("lang", "place").agg(F.min(F.struct("idx", "n")).alias("x")).select("lang", "place", "x.idx", "x.n")
+
+
+def train(docs: DataFrame, per_lang: int = 400, buckets: int = 1 << 13) -> Model:
+    """Learn from the rows that are not held out.  ``per_lang`` bounds what comes to the
+    driver: the bucket counts (of whole texts) of the sample."""
+    got = sorted((r["lang"], r["place"], bytes(r["idx"]), bytes(r["n"])) for r in sample(docs, per_lang, buckets).collect())
+    samples = [(lang, np.frombuffer(idx, np.int32), np.frombuffer(n, np.int32).astype(float)) for lang, _, idx, n in got]
     if not samples:
         return Model([], np.zeros((buckets, 0), np.float32), np.zeros(0, np.float32), 0.5, buckets)
     return fit(samples, buckets)
