@@ -391,3 +391,24 @@ def test_pipeline_stages(spark, docs, tmp_path):
     assert sorted(str(r["doc_id"]) for r in rows(seen[4])) == sorted(str(r["doc_id"]) for r in rows(seen[3]))
     assert seen[4].columns == [c for c in docs.columns if c != "shard"] + ["shard", "slot"]
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == seen[4].count()
+
+
+def test_pipeline_drops_rows_not_ids(spark, tmp_path):
+    leak = " ".join(f"leak{i}" for i in range(30))
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    near_copy = " ".join(f"null{i}" for i in range(60))
+    plain = [(i, " ".join(f"w{i}x{j}" for j in range(12))) for i in range(5)]
+    data = plain + [(20, BASE)] * 50 + [(21, BASE)] + [(None, near_copy)] * 30 + [(None, near_copy + " end"), (22, near_copy)]
+    data += [(None, "a null id of its own"), (3, "another text under an id"), (3, BASE + " more"), (30, None), (30, None), (None, None)]
+    leaky = [(None, "so " + leak), (4, leak + " too"), (40, leak), (40, leak)]
+    schema = "doc_id long, text string, lang string, key string"
+    frame = lambda x: spark.createDataFrame([(*r, "en", "k") for r in x], schema).repartition(4)
+    pairs = lambda df: collections.Counter((r["doc_id"], r["text"]) for r in rows(df))
+    kept = corpus_pipeline.near_duplicates(spark, frame(data), str(tmp_path))
+    assert kept.columns == ["doc_id", "text", "lang", "key"]
+    got = pairs(kept)
+    groups = [[(None, near_copy), (None, near_copy + " end")], [(3, BASE + " more")]]  # one row each
+    assert [sum(got.pop(x, 0) for x in g) for g in groups] == [1, 1]
+    assert got == collections.Counter(plain + [(None, "a null id of its own"), (3, "another text under an id"), (30, None), (None, None)])
+    clean = corpus_pipeline.decontamination(spark, frame(data + leaky), str(tmp_path))
+    assert clean.columns == kept.columns and pairs(clean) == collections.Counter(data)
