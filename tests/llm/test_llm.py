@@ -98,6 +98,31 @@ def test_mixing(docs, empty):
     assert rows(mixing.mix(empty)) == []
 
 
+@pytest.mark.parametrize("share,range_rows", [(1.0, 200_000), (0.4, 30), (3.0, 30)])
+def test_mix_is_cut_in_order_of_finish_times(spark, share, range_rows):
+    rng = np.random.default_rng(8)
+    sizes = [(s, int(rng.integers(0, 30))) for s in "abd" for _ in range(40)] + [("c", 900), ("c", 700), (None, 0), (None, 0)]
+    data = [(i if i % 9 else None, " ".join(["w"] * n), s) for i, (s, n) in enumerate(sizes)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    got = [(r["doc_id"], len(r["text"].split()), r["source"]) for r in rows(mixing.mix(df, share=share, range_rows=range_rows))]
+    copies = []
+    for at, s in enumerate(["a", "b", "c", "d"]):
+        own = [(i, len(t.split())) for i, t, source in data if source == s]
+        own.sort(key=lambda x: (hashlib.md5("|".join(["mix-1", str(x[0])] if x[0] is not None else ["mix-1"]).encode()).hexdigest(), x[0] or 0, x[1]))
+        end = 0
+        for turn in range(3):
+            for i, n in own:
+                end += n
+                copies.append((end / (5, 2, 1)[at % 3], hashlib.md5(("mix-1" if i is None else f"mix-1|{i}").encode()).hexdigest(), turn, s, i, n))
+    budget, spent, want = int(sum(n for _, n in sizes) * share + 0.5), 0, []
+    for *_, s, i, n in sorted(copies, key=lambda c: c[:4]):
+        if 2 * spent + n <= 2 * budget:
+            want.append((i, n, s))
+        spent += n
+    assert collections.Counter(got) == collections.Counter(want) and len(got) > 50
+    assert abs(sum(n for _, n, _ in got) - budget) <= 450
+
+
 # --------------------------------------------------------------- lang id ---
 def test_language_id(spark, docs, empty):
     rng = np.random.default_rng(3)

@@ -4,13 +4,15 @@ Every document of a source gets a place by a hash (the shuffle) and a virtual
 finish time: the source's words up to and with it, divided by the source's
 weight.  A source that runs out starts over, ``max_repeats`` passes at most.  In
 the order of finish time over all sources, documents are taken until the total
-budget is spent.  The virtual time at which that happens (the level) follows from
-the sums per source alone, so truncation needs no global running sum: a source
-is served ``weight * level`` words, or all its passes.
+budget is spent (``mix``).  What each source is served by then if documents could be
+cut, ``weight * level`` words or all its passes, follows from the sums per source
+alone (``schedule``, ``taken_words``): no sort or truncation is computed for it.
 
 Scale: running sums are made in two steps, in hash buckets of a source and over
 the buckets' sums, so a hot source is spread over all tasks; only sums per
-(source, bucket) meet.  Source names are few (one window holds one row of each).
+(source, bucket) meet.  The truncation sums words per range of the sorted finish
+times and runs inside one range.  Source names are few (one window holds one row of
+each).
 
 Defined results: a null text has 0 words; a null source is a source, ordered
 last; a null doc_id is placed like any other; repeated rows are separate
@@ -86,14 +88,47 @@ def taken_words(max_repeats: int = 3) -> Column:
     return sum(served[1:], served[0]).cast("long")
 
 
-def mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.0, max_repeats: int = 3, seed: str = "mix-1") -> DataFrame:
-    """The mixed corpus: whole documents in order of virtual finish time, as often
-    as taken.  Documents stay whole: one that the level cuts is taken if at
-    least half of it is below.  Columns of ``docs`` only."""
-    at = schedule(docs, docs.columns, weights, share, max_repeats, seed)
-    copies = at.select("*", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))).alias("pass"))
-    start = F.col("source_size") * F.col("pass") + F.col("before")
-    copies = copies.where((F.col("quota") > 0) & (start * 2 + F.col("size") <= F.col("quota") * 2))
-    copies = copies.withColumn("finish", (start + F.col("size")) / F.col("weight"))
-    out = copies.repartitionByRange("finish", "place", "pass").sortWithinPartitions("finish", "place", "pass")
+ORDER = ("finish", "place", "pass", "source_key")
+
+
+def passes(at: DataFrame, max_repeats: int) -> DataFrame:
+    """Every copy of the documents of ``schedule`` with its virtual finish time; sources
+    without words have none."""
+    copies = at.where("source_size > 0").select("*", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))).alias("pass"))
+    end = F.col("source_size") * F.col("pass") + F.col("before") + F.col("size")
+    return copies.withColumn("finish", end / F.col("weight"))
+
+
+def cut(copies: DataFrame, budget: int, ranges: int) -> Column:
+    """Whether a copy is taken.  The copies are range-sorted by ORDER; sums per range tell
+    the range where ``budget`` words are spent, and only its rows get running sums.
+    A copy is taken if at least half of it is below the budget."""
+    key = F.struct(*ORDER)
+    sized = copies.select(*ORDER, "size").repartitionByRange(ranges, *ORDER)
+    sized = stored(sized.withColumn("range", F.spark_partition_id()), "mix-ranges")
+    sums = sized.groupBy("range").agg(F.sum("size").alias("words"), F.min(key).alias("least"))
+    ahead = F.sum("words").over(Window.partitionBy(F.lit(0)).orderBy("range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("words")
+    sums = stored(sums.select("range", "least", ahead.alias("ahead")), "mix-range-sums")
+    at = sums.where(F.col("ahead") <= budget).agg(F.max(F.struct("range", "ahead")).alias("x")).select("x.*").first()
+    if at["range"] is None:
+        return F.lit(False)
+    upto = F.sum("size").over(Window.partitionBy("range").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)) + at["ahead"]
+    inside = sized.where(F.col("range") == at["range"]).withColumn("upto", upto)
+    out = inside.where(F.col("upto") * 2 - F.col("size") > 2 * budget).select(key.alias("least"))
+    out = out.unionByName(sums.where(F.col("range") > at["range"]).select("least"))
+    first = out.agg(F.min("least").alias("x")).select("x.*").first()
+    return F.lit(True) if first["finish"] is None else key < F.struct(*[F.lit(first[c]).alias(c) for c in ORDER])
+
+
+def mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.0, max_repeats: int = 3, seed: str = "mix-1",
+        range_rows: int = 200_000) -> DataFrame:
+    """The mixed corpus: whole documents in order of virtual finish time, until the
+    budget (``share`` of all words) is spent.  Documents stay whole: the one that the
+    end of the budget cuts is taken if at least half of it is below.  Columns of
+    ``docs`` only."""
+    light = stored(schedule(docs, [], weights, share, max_repeats, seed).drop("doc"), "mix-schedule")
+    n, words = light.agg(F.count(F.lit(1)), F.sum("size")).first()
+    taken = cut(passes(light, max_repeats), math.floor((words or 0) * share + 0.5), math.ceil(max(n, 1) * max_repeats / range_rows))
+    copies = passes(schedule(docs, docs.columns, weights, share, max_repeats, seed), max_repeats).where(taken)
+    out = copies.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
     return out.select("doc.*")
