@@ -3,6 +3,7 @@ nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns
 
 import collections
 import hashlib
+import math
 import re
 import zlib
 
@@ -393,6 +394,24 @@ def test_decontamination(spark, docs, empty):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_radius_misses_no_similar_window(spark):
+    rng = np.random.default_rng(4)
+    vocab = [f"v{i}" for i in range(100_000)]
+    items = [(i, list(rng.choice(vocab, 34 + i % 26, replace=False))) for i in range(300)]
+    items = [(i, w[:-6] + ["end"] * 6 if i % 10 == 0 else w) for i, w in items]  # a word that fills the part replaced
+    data = []
+    for i, w in items:  # as many words replaced at the edge as the limit allows, or left out
+        n = len(w) - 4
+        d = min(6, n - -(-4 * n // 5))
+        data.append((2 * i, " ".join(w[:-d] + (["other"] * d if i % 10 == 0 else list(rng.choice(vocab, d))))))
+        data.append((2 * i + 1, " ".join(w[:4 + -(-2 * n // 3)])))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = rows(decontam.leaks(spark.createDataFrame(data, "doc_id long, text string"), bench))
+    assert {r["doc_id"] for r in got} == set(range(600)) and max(r["hamming"] for r in got) > 20
+    p = 0.205
+    assert sum(math.comb(64, i) * p**i * (1 - p) ** (64 - i) for i in range(decontam.RADIUS + 1, 65)) < 1e-9
+
+
 # -------------------------------------------------------------- pipeline ---
 def test_pipeline_stages(spark, docs, tmp_path):
     bench = [(1, " ".join(f"leak{i}" for i in range(30)))]
