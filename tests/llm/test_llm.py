@@ -456,3 +456,11 @@ def test_pipeline_drops_rows_not_ids(spark, tmp_path):
     assert got == collections.Counter(plain + [(None, "a null id of its own"), (3, "another text under an id"), (30, None), (None, None)])
     clean = corpus_pipeline.decontamination(spark, frame(data + leaky), str(tmp_path))
     assert clean.columns == kept.columns and pairs(clean) == collections.Counter(data)
+
+
+def test_pipeline_searches_items_without_an_id(spark, tmp_path):
+    items = [(None, " ".join(f"leak{i}" for i in range(30))), (None, " ".join(f"other{i}" for i in range(20))), (None, None)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    data = [(1, "so " + items[0][1]), (2, items[1][1] + " too"), (3, "a clean text of more than five words")]
+    out = corpus_pipeline.decontamination(spark, spark.createDataFrame(data, "doc_id long, text string"), str(tmp_path))
+    assert [r["doc_id"] for r in rows(out)] == [3]
