@@ -137,14 +137,18 @@ def fit(samples: list[tuple[str, np.ndarray, np.ndarray]], buckets: int, dim: in
     return Model(langs, (emb @ out / temperature).astype(np.float32), (bias / temperature).astype(np.float32), threshold, buckets)
 
 
-def smallest_places(places: DataFrame, per_lang: int) -> DataFrame:
-    """The ``per_lang`` smallest distinct places of each language: of every partition,
-    then merged in a tree, so no language is gathered."""
+def smallest_places(texts: DataFrame, per_lang: int) -> DataFrame:
+    """``texts`` (lang, place, text) to the ``per_lang`` smallest distinct places of each
+    language whose text has a letter: of every partition, then merged in a tree, so no
+    language is gathered."""
     def run(batches):
         import pyarrow as pa
 
         kept: dict[str, set[int]] = {}
-        for b in batches:
+        pieces = (b for whole in batches for b in (text_batches(whole) if "text" in whole.schema.names else [whole]))
+        for b in pieces:
+            if "text" in b.schema.names:
+                b = b.filter(pa.array([any(map(str.isalpha, t.lower())) for t in b.column("text").to_pylist()], pa.bool_()))
             for lang, place in zip(b.column("lang").to_pylist(), b.column("place").to_pylist()):
                 own = kept.setdefault(lang, set())
                 own.add(place)
@@ -154,8 +158,8 @@ def smallest_places(places: DataFrame, per_lang: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int64())],
                                          names=["lang", "place"])
 
-    parts = places.rdd.getNumPartitions()
-    df = places.mapInArrow(run, "lang string, place long")
+    parts = texts.rdd.getNumPartitions()
+    df = texts.mapInArrow(run, "lang string, place long")
     while parts > 1:
         parts = -(-parts // 32)
         df = df.repartition(parts).mapInArrow(run, "lang string, place long")
@@ -169,16 +173,8 @@ def sample(docs: DataFrame, per_lang: int, buckets: int) -> DataFrame:
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     usable = usable.select("lang", F.xxhash64("doc_id", "text").alias("place"), "text")
 
-    def lettered(batches):
-        import pyarrow as pa
-
-        for whole in batches:
-            for b in text_batches(whole):
-                has = [any(map(str.isalpha, t.lower())) for t in b.column("text").to_pylist()]
-                yield b.select(["lang", "place"]).filter(pa.array(has, pa.bool_()))
-
     # languages x per_lang rows of a name and a number
-    chosen = F.broadcast(stored(smallest_places(usable.mapInArrow(lettered, "lang string, place long"), per_lang), "lang-places"))
+    chosen = F.broadcast(stored(smallest_places(usable, per_lang), "lang-places"))
 
     def features(batches):
         import pyarrow as pa
