@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import chat, decontam, dedup_exact, langid, mixing, near, quality, shards, tokens, urls
+from tidemark.llm import chat, decontam, dedup_exact, langid, licenses, mixing, near, quality, runs, shards, tokens, urls
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,6 +170,49 @@ def op10(spark, sf):
     return decontam.decontaminate(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
 
 
+@register("op11_license_scan")
+def op11(spark, sf):
+    out = licenses.scan(table(spark, sf, "documents").select("doc_id", "text"), ["doc_id"])
+    out = out.select("doc.doc_id", "n_words", "matches", licenses.exact_only(F.col("matches")).alias("base"))
+    return out.select("doc_id", "n_words", F.size("base").cast("long").alias("n_base"), F.array_min("base.word").alias("first_word"),
+                      F.array_max("base.word").alias("last_word"), licenses.labels(F.col("base")).alias("base_labels"),
+                      licenses.labels(F.col("matches")).alias("labels"), licenses.score(F.col("matches")).alias("score"))
+
+
+OP12_SQL = r"""
+WITH tab AS (SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k) ORDER BY k) AS t
+  FROM range(256) x(k)),
+ids AS (SELECT DISTINCT doc_id, xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1]), 4294967295), 4294967295) AS h
+  FROM documents, tab WHERE doc_id IS NOT NULL),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT d.*, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a, h // 10 AS g FROM d LEFT JOIN ids USING (doc_id)),
+i AS (SELECT r, n, i, w[1 + CASE WHEN a IS NULL OR i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END] AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM s)),
+e AS (SELECT x.r, x.i, y.i - x.i AS q, x.i - row_number() OVER (PARTITION BY x.r, y.i - x.i ORDER BY x.i) AS island
+  FROM i x JOIN i y ON x.r = y.r AND x.word = y.word AND y.i > x.i AND y.i - x.i <= x.n // 4),
+st AS (SELECT r, q, min(i) AS s, count(*) + q AS l FROM e GROUP BY r, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+run AS (SELECT * FROM st WHERE NOT EXISTS (
+  FROM st o WHERE o.r = st.r AND o.q < st.q AND o.s <= st.s AND o.s + o.l >= st.s + st.l)),
+top AS (SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY r ORDER BY l DESC, s, q) = 1),
+text AS (SELECT r, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS t FROM run GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(s + q, s + l)) AS i FROM run),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS t FROM i ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(top.s AS BIGINT) AS start, CAST(l AS BIGINT) AS length, CAST(q AS BIGINT) AS period,
+  CAST(1000 * l // q AS BIGINT) AS exponent_milli, sha256(coalesce(text.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM d LEFT JOIN text USING (r) LEFT JOIN top USING (r) LEFT JOIN kept USING (r)"""
+
+
+@register("op12_periodic_runs", OP12_SQL)
+def op12(spark, sf):
+    out = runs.find_runs(runs.with_repeats(table(spark, sf, "documents").select("doc_id", "text")), ["doc_id"])
+    top = runs.longest(F.col("runs"))
+    return out.select("doc.doc_id", F.size("runs").cast("long").alias("n_runs"), runs.runs_text(F.col("runs")).alias("t"), "collapsed",
+                      top.alias("top")).select(
+        "doc_id", "n_runs", "top.start", "top.length", "top.period", F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2("t", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
