@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import chat, decontam, dedup_exact, langid, licenses, mixing, near, quality, runs, shards, tokens, urls
+from tidemark.llm import chat, decontam, dedup_exact, langid, licenses, mixing, near, phrases, quality, runs, shards, tokens, urls
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -213,6 +213,34 @@ def op12(spark, sf):
         F.sha2("t", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+OP13_SQL = r"""
+WITH pc AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pc),
+s AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w WHERE len(w) > 0),
+g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM s, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE i + m - 1 <= len(w)),
+f AS (SELECT lang, m, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 30),
+n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+c AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+k AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+q AS (SELECT k.lang, k.phrase, k.m, k.a, k, x.a AS l, y.a AS r, CAST(CAST(k.a AS HUGEINT) * 2000000 // (CAST(x.a AS HUGEINT) + y.a) AS BIGINT) AS score
+  FROM k JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(w[1:k], ' ')
+  JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(w[k + 1:], ' ')),
+b AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+o AS (SELECT lang, array_to_string(w[i:i + z - 1], ' ') AS phrase, max(a) AS around
+  FROM (SELECT *, unnest(range(1, m - z + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS z FROM c)) GROUP BY ALL),
+r AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.phrase) AS rank
+  FROM b LEFT JOIN o ON o.lang = b.lang AND o.phrase = b.phrase
+  WHERE around IS NULL OR CAST(around AS HUGEINT) * 100 < CAST(b.a AS HUGEINT) * 80)
+SELECT r.lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM r JOIN n ON n.lang = r.lang WHERE rank <= 2000"""
+
+
+@register("op13_phrases", OP13_SQL)
+def op13(spark, sf):
+    return phrases.collocations(table(spark, sf, "documents").select("text", "lang"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
