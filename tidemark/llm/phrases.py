@@ -14,10 +14,10 @@ through by chance is counted like the rest and fails the exact count.
   for the first word, under it a hash container from the other words to counts; a
   container that grows over ``BURST`` bursts into a node with a container for each next word.
   When the trie holds more than ``HELD`` counts, the largest subtrees are spilled
-  whole, each as a run sorted by phrase.
-* Merge: runs are a written table, dealt by ranges of (language, phrase), that is by
-  prefixes, deeper ones where many phrases share a prefix; each range sorts and
-  sums its runs.  A phrase has a row per spill, so no range can hold a hot one.
+  whole, as runs sorted by their words.
+* Merge: runs are dealt by prefixes of up to ``PREFIX`` words, and each prefix partition sums
+  what the runs hold of a phrase.  A phrase has a row per spill and a prefix one for each last
+  word, so neither can gather the occurrences of a hot one.
 
 Scores: cutting a candidate after k words gives l and r, the counts of both parts,
 and ``floor(2000000 * a / (l + r))`` in exact decimal arithmetic; the lowest counts.
@@ -32,6 +32,7 @@ come; without candidates the result is empty; other columns than text and lang a
 from __future__ import annotations
 
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -39,10 +40,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored, text_batches
 
-RUNS = "lang string, phrase string, n bigint"
+RUNS = "lang string, prefix string, rest string, n bigint"
 FILTER_BITS = 1 << 26
-HELD = 500_000
+MIX = (0x2545F491, 0x1B873593)  # odd, under 2 ** 30: sums of products with 32-bit hashes fit a long
+HELD = 1_000_000
 BURST = 20_000
+PREFIX = 3
+RUN_ROWS = 50_000
 SHARES = 64
 BREAK = 0xFF  # no byte of UTF-8 text
 
@@ -57,54 +61,50 @@ def _bytes_table() -> bytes:
 
 
 class HatTrie:
-    """Counts of phrases (bytes of int32 word numbers, most of ``depth`` words)."""
+    """Counts of phrases: int32 word numbers, the first apart, the others as bytes."""
 
     def __init__(self) -> None:
-        self.first: dict[bytes, dict] = {}  # first word -> container, or node of them (keys of four bytes)
-        self.deep: set[bytes] = set()  # first words whose container has burst
-        self.sizes: dict[bytes, int] = {}
+        self.containers: dict[int, Counter] = {}
+        self.nodes: dict[int, defaultdict[bytes, Counter]] = {}  # of first words whose container has burst
+        self.sizes: dict[int, int] = {}
         self.held = 0
 
-    def add(self, phrases: list[bytes], counts: list[int]) -> None:
-        for key, n in zip(phrases, counts):
-            head, rest = key[:4], key[4:]
-            box = self.first.get(head)
-            if box is None:
-                box = self.first[head] = {}
-                self.sizes[head] = 0
-            if head in self.deep:
-                box, rest = box.setdefault(rest[:4], {}), rest[4:]
-            if rest in box:
-                box[rest] += n
+    def add(self, phrases: np.ndarray) -> None:
+        """Counts the rows of ``phrases``, each an occurrence."""
+        width = phrases.shape[1] - 1
+        phrases = phrases[np.argsort(phrases[:, 0], kind="stable")]
+        rest = np.ascontiguousarray(phrases[:, 1:], np.int32).view(f"V{4 * width}").ravel().tolist()
+        starts = np.flatnonzero(np.diff(phrases[:, 0], prepend=-1))
+        for word, a, b in zip(phrases[starts, 0].tolist(), starts.tolist(), [*starts[1:].tolist(), len(rest)]):
+            if word in self.nodes:
+                node = self.nodes[word]
+                for key in rest[a:b]:
+                    node[key[:4]][key[4:]] += 1
+                size = sum(map(len, node.values()))
             else:
-                box[rest] = n
-                self.held += 1
-                self.sizes[head] += 1
-                if len(box) > BURST and head not in self.deep:
-                    self._burst(head)
-
-    def _burst(self, head: bytes) -> None:
-        node: dict[bytes, dict] = {}
-        for rest, n in self.first[head].items():
-            node.setdefault(rest[:4], {})[rest[4:]] = n
-        self.first[head] = node
-        self.deep.add(head)
-
-    def subtree(self, head: bytes) -> list[tuple[bytes, int]]:
-        """Takes the subtree of a first word out: (phrase, count), unsorted."""
-        box = self.first.pop(head)
-        self.held -= self.sizes.pop(head)
-        if head not in self.deep:
-            return [(head + rest, n) for rest, n in box.items()]
-        self.deep.discard(head)
-        return [(head + word + rest, n) for word, below in box.items() for rest, n in below.items()]
-
-    def largest(self) -> list[bytes]:
+                box = self.containers.setdefault(word, Counter())
+                box.update(rest[a:b])
+                size = len(box)
+                if size > BURST and width > 1:
+                    self.nodes[word] = node = defaultdict(Counter)
+                    for key, n in self.containers.pop(word).items():
+                        node[key[:4]][key[4:]] = n
+            self.held += size - self.sizes.get(word, 0)
+            self.sizes[word] = size
+
+    def subtree(self, word: int) -> dict[bytes, int]:
+        """Takes out the subtree of a first word: the other words to their count."""
+        self.held -= self.sizes.pop(word)
+        if word in self.nodes:
+            return {second + key: n for second, box in self.nodes.pop(word).items() for key, n in box.items()}
+        return self.containers.pop(word)
+
+    def largest(self) -> list[int]:
         return sorted(self.sizes, key=self.sizes.get, reverse=True)
 
 
-class Counter:
-    """One task's counts of one language in one round (sizes 1, 2 or 3 to ``most``)."""
+class LanguageCounts:
+    """One task's counts of one language in one round (phrases of ``sizes`` words)."""
 
     def __init__(self, lang: str, sizes: range, frequent: np.ndarray | None):
         self.lang, self.prefix, self.sizes, self.frequent = lang, lang.encode() + b" ", sizes, frequent
@@ -119,8 +119,15 @@ class Counter:
     def held(self) -> int:
         return len(self.words) + self.trie.held
 
-    def _frequent(self, phrases: list[bytes]) -> np.ndarray:
-        at = np.fromiter((zlib.crc32(self.prefix + p) for p in phrases), np.int64, len(phrases)) % FILTER_BITS
+    def _numbers(self, words: list[bytes]) -> np.ndarray:
+        out = np.empty(len(words), np.int64)
+        for i, w in enumerate(words):
+            out[i] = k = self.number.setdefault(w, len(self.words))
+            if k == len(self.words):
+                self.words.append(w)
+        return out
+
+    def _set(self, at: np.ndarray) -> np.ndarray:
         return (self.frequent[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(np.bool_)
 
     def count(self, texts: list[bytes], table: bytes) -> None:
@@ -132,62 +139,91 @@ class Counter:
         if not words:
             return
         coded = pa.array(words, pa.binary()).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        wanted = np.array([w != mark for w in distinct])
-        if self.frequent is not None and self.sizes[0] == 2:
-            wanted &= self._frequent(distinct)
-        # pairs that may be frequent have words that may: the last round needs no check of words
-        numbers = np.full(len(distinct), -1, np.int64)
-        for i in np.flatnonzero(wanted).tolist():
-            k = self.number.setdefault(distinct[i], len(self.words))
-            if k == len(self.words):
-                self.words.append(distinct[i])
-            numbers[i] = k
-        ids = numbers[coded.indices.to_numpy(zero_copy_only=False)]
+        ids, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+        word = np.array([w != mark for w in distinct])
         if self.sizes[0] == 1:
+            times, wanted = np.bincount(ids, minlength=len(distinct)), np.flatnonzero(word)
+            numbers = self._numbers([distinct[i] for i in wanted.tolist()])
             if len(self.single) < len(self.words):
                 self.single = np.concatenate((self.single, np.zeros(2 * len(self.words), np.int64)))
-            more = np.bincount(ids[ids >= 0])
-            self.single[:len(more)] += more
-            return
-        pair = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
-        if not len(pair):
+            self.single[numbers] += times[wanted]
             return
-        _, where, each, counts = np.unique(ids[pair] << 32 | ids[pair + 1], return_index=True, return_inverse=True, return_counts=True)
+        hashes = np.fromiter((zlib.crc32(self.prefix + w) for w in distinct), np.int64, len(distinct))
         if self.sizes[0] == 2:
-            self._add(ids, pair[where], 2, counts)
+            good = (word & self._set(place(hashes)))[ids]
+            live = good[:-1] & good[1:]
+        else:
+            live = word[ids[:-1]] & word[ids[1:]]
+            live[live] = self._set(place(hashes[ids[:-1][live]], hashes[ids[1:][live]]))
+        phrases, pairs = [], live
+        for size in self.sizes:  # live: of each place, if all pairs of a phrase of size words are
+            if size > 2:
+                live = live[:-1] & pairs[size - 2:]
+            phrases.append(ids[np.flatnonzero(live)[:, None] + np.arange(size)])
+        used = np.unique(np.concatenate([x.ravel() for x in phrases]))
+        if not len(used):
             return
-        good = self._frequent([b" ".join((self.words[a], self.words[b])) for a, b in
-                               zip(ids[pair[where]].tolist(), ids[pair[where] + 1].tolist())])
-        code = np.full(len(ids) + self.sizes[-1], -1, np.int64)  # of the pair that starts here, if frequent
-        code[pair] = np.where(good[each], each, -1)
-        number = np.arange(len(code))
-        live, name = code >= 0, code
-        for size in self.sizes:  # a phrase of size words: one of size - 1 words and the pair at its end
-            live = live & np.concatenate((code[size - 2:] >= 0, np.zeros(size - 2, np.bool_)))
-            at = number[live]
-            if not len(at):
-                return
-            _, where, each, counts = np.unique(name[at] << 32 | code[at + size - 2], return_index=True, return_inverse=True, return_counts=True)
-            self._add(ids, at[where], size, counts)
-            name = np.full(len(code), -1, np.int64)
-            name[at] = each
-
-    def _add(self, ids: np.ndarray, starts: np.ndarray, size: int, counts: np.ndarray) -> None:
-        raw = ids[starts[:, None] + np.arange(size)].astype(np.int32).tobytes()
-        self.trie.add([raw[i:i + 4 * size] for i in range(0, len(raw), 4 * size)], counts.tolist())
+        numbers = np.zeros(len(distinct), np.int32)
+        numbers[used] = self._numbers([distinct[i] for i in used.tolist()])
+        for x in phrases:
+            if len(x):
+                self.trie.add(numbers[x])
 
     def spill(self, keep: int):
-        """Runs of the largest subtrees until at most ``keep`` counts are held."""
+        """Sorted runs (prefix, rest, n as Arrow arrays) of the largest subtrees until at
+        most ``keep`` counts are held."""
+        import pyarrow as pa
+
+        words = pa.array(self.words, pa.binary())
         if self.sizes[0] == 1:
-            yield sorted(zip(self.words, self.single.tolist()))
+            order = np.array(words.to_numpy(zero_copy_only=False)).argsort() if len(words) else np.zeros(0, np.int64)
+            for a in range(0, len(order), RUN_ROWS):
+                part = order[a:a + RUN_ROWS]
+                yield _run(words, part[:, None], self.single[part])
         else:
+            rank = np.empty(len(words), np.int64)
+            rank[np.array(words.to_numpy(zero_copy_only=False)).argsort()] = np.arange(len(words))
+            taken: dict[int, list] = {}
+            rows = 0
             for head in self.trie.largest():
                 if self.held() <= keep:
-                    return
-                rows = self.trie.subtree(head)
-                yield sorted((b" ".join([self.words[i] for i in np.frombuffer(k, np.int32).tolist()]), n) for k, n in rows)
-        self.reset()  # all is out, the words' numbers may go as well
+                    break
+                for rest, n in self.trie.subtree(head).items():
+                    first, others, counts = taken.setdefault(len(rest), ([], [], []))
+                    first.append(head)
+                    others.append(rest)
+                    counts.append(n)
+                    rows += 1
+                if rows >= RUN_ROWS:
+                    yield from _runs(words, rank, taken)
+                    taken, rows = {}, 0
+            yield from _runs(words, rank, taken)
+        if not self.trie.held:
+            self.reset()  # all is out, the words' numbers may go as well
+
+
+def _runs(words, rank: np.ndarray, taken: dict[int, list]):
+    for width, (first, others, counts) in taken.items():
+        rest = np.frombuffer(b"".join(others), np.int32).reshape(-1, width // 4)
+        phrases = np.concatenate((np.array(first, np.int32)[:, None], rest), axis=1)
+        order = np.lexsort(rank[phrases].T[::-1])
+        yield _run(words, phrases[order], np.array(counts, np.int64)[order])
+
+
+def _run(words, phrases: np.ndarray, counts: np.ndarray):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    join = lambda xs: pc.binary_join_element_wise(*[words.take(pa.array(x)) for x in xs], b" ") if len(xs) else pa.nulls(len(counts), pa.binary())
+    columns = [np.ascontiguousarray(c) for c in phrases.T]
+    return join(columns[:PREFIX]).cast(pa.string()), join(columns[PREFIX:]).cast(pa.string()), pa.array(counts, pa.int64())
+
+
+def place(first, last=None):
+    """Place in the bitmap of a word or pair, from the words' hashes: for numpy arrays and
+    for Spark columns (non-negative longs)."""
+    x = first * MIX[0] if last is None else first * MIX[0] + last * MIX[1]
+    return (F.shiftright(x, 20) if isinstance(x, Column) else x >> 20) % FILTER_BITS
 
 
 def runs_of(docs: DataFrame, sizes: range, frequent=None) -> DataFrame:
@@ -202,52 +238,42 @@ def runs_of(docs: DataFrame, sizes: range, frequent=None) -> DataFrame:
         bits = None if frequent is None else np.frombuffer(frequent.value, np.uint8)
 
         def spilled(keep: int):
-            for c in sorted(counters.values(), key=Counter.held, reverse=True):
-                names, counts = [], []
-                for part in c.spill(keep):
-                    names += [p for p, _ in part]
-                    counts += [n for _, n in part]
-                    if len(names) >= 20_000:
-                        yield rows_of(c.lang, names, counts)
-                        names, counts = [], []
-                if names:
-                    yield rows_of(c.lang, names, counts)
-                if sum(map(Counter.held, counters.values())) <= keep:
+            for c in sorted(counters.values(), key=LanguageCounts.held, reverse=True):
+                for prefix, rest, n in c.spill(keep):
+                    yield pa.RecordBatch.from_arrays([pa.repeat(c.lang, len(n)), prefix, rest, n], names=["lang", "prefix", "rest", "n"])
+                if sum(map(LanguageCounts.held, counters.values())) <= keep:
                     return
 
-        def rows_of(lang, names, counts):
-            phrase = pa.array(names, pa.binary()).cast(pa.string())
-            return pa.RecordBatch.from_arrays([pa.array([lang] * len(names), pa.string()), phrase, pa.array(counts, pa.int64())],
-                                              names=["lang", "phrase", "n"])
-
         for batch in batches:
             for piece in text_batches(batch):
                 by_lang: dict[str, list[bytes]] = {}
                 for lang, text in zip(piece.column("lang").to_pylist(), piece.column("text").to_pylist()):
                     by_lang.setdefault(lang, []).append(text.encode())
                 for lang, texts in by_lang.items():
-                    counters.setdefault(lang, Counter(lang, sizes, bits)).count(texts, table)
-                if sum(map(Counter.held, counters.values())) > HELD:
+                    counters.setdefault(lang, LanguageCounts(lang, sizes, bits)).count(texts, table)
+                if sum(map(LanguageCounts.held, counters.values())) > HELD:
                     yield from spilled(HELD // 4)
         yield from spilled(-1)
 
     return rows.mapInArrow(run, RUNS)
 
 
-def merged(runs: DataFrame, least: int) -> DataFrame:
-    """lang, phrase, n of the phrases with ``least`` occurrences, merged by prefix ranges."""
-    dealt = runs.repartitionByRange(F.col("lang"), F.col("phrase")).sortWithinPartitions("lang", "phrase")
-    return dealt.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+def merged(runs: DataFrame) -> DataFrame:
+    """lang, phrase, n: the runs merged by prefix partitions."""
+    dealt = runs.repartition("lang", "prefix").groupBy("lang", "prefix", "rest").agg(F.sum("n").alias("n"))
+    return dealt.select("lang", F.concat_ws(" ", "prefix", "rest").alias("phrase"), "n")
 
 
 def bitmap(phrases: DataFrame):
-    """A broadcast of FILTER_BITS bits: those at the phrases' hashes are set."""
+    """A broadcast of FILTER_BITS bits: those at the places of the words or pairs are set."""
     spark = phrases.sparkSession
-    at = F.crc32(F.concat_ws(" ", "lang", "phrase")) % FILTER_BITS + 1  # Spark's bitmaps count from 1
+    words = F.split("phrase", " ")
+    hashed = lambda i: F.crc32(F.concat_ws(" ", "lang", words[i]))
+    at = F.when(F.size(words) == 1, place(hashed(0))).otherwise(place(hashed(0), F.crc32(F.concat_ws(" ", "lang", F.get(words, F.lit(1)))))) + 1
     parts = phrases.groupBy(F.bitmap_bucket_number(at).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
     bits = bytearray(FILTER_BITS // 8)
     for r in parts.toLocalIterator():  # 2,048 rows of 4 KB at most, whatever the input
-        start = (r["part"] - 1) * 4096
+        start = (r["part"] - 1) * 4096  # Spark's bitmaps count from 1
         bits[start:start + 4096] = r["bits"]
     return spark.sparkContext.broadcast(bytes(bits))
 
@@ -255,18 +281,16 @@ def bitmap(phrases: DataFrame):
 def count_phrases(docs: DataFrame, least: int, most_words: int) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, n, size) of all phrases up to ``most_words`` words with ``least``
     occurrences, and (lang, n): all words."""
-    levels, words, frequent = [], None, None
-    for sizes in (range(1, 2), range(2, 3), range(3, most_words + 1)):
+    levels, frequent = [], None
+    singles = stored(merged(runs_of(docs, range(1, 2))), "words")
+    words = stored(singles.groupBy("lang").agg(F.sum("n").alias("n")), "words")
+    levels.append(singles.where(F.col("n") >= least))
+    for sizes in (range(2, 3), range(3, most_words + 1)):
         if not len(sizes):
             break
-        runs = stored(runs_of(docs, sizes, frequent), "phrase-runs")
-        level = stored(merged(runs, least), "phrases")
-        words = words or stored(runs.groupBy("lang").agg(F.sum("n").alias("n")), "words")
-        levels.append(level)
-        if frequent is not None:
-            frequent.unpersist()
-        if sizes[0] < 3:
-            frequent = bitmap(level)
+        frequent = bitmap(levels[-1])
+        levels.append(stored(merged(runs_of(docs, sizes, frequent)).where(F.col("n") >= least), "phrases"))
+        frequent.unpersist()
     out = levels[0]
     for level in levels[1:]:
         out = out.unionByName(level)
