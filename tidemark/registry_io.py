@@ -148,16 +148,21 @@ SELECT run_id, metric_code, CASE WHEN error IS NULL THEN 'SUCCESS' ELSE 'FAILURE
   CASE WHEN error IS NULL THEN (SELECT count(DISTINCT t) FROM e WHERE list_contains(runs.codes, e.code)) END AS row_count, error
 FROM runs"""))
 def request_stream(spark, sf):
-    """Requests as JSON lines -> file stream -> foreachBatch runs -> ledger."""
+    """Requests as JSON lines -> file stream -> foreachBatch runs -> ledger.  Every run reads
+    its inputs, all event types, from the daily sums stored as a dataset."""
     root = scratch(spark, "stream")
+    daily = D.event_types(spark, sf).df.select("obs_time", "value", F.col("series_code").alias("internal_series_code")).persist()
+    manifest = store(spark, daily, root, "events")
+    inputs = F.array(*[F.struct(F.lit("events").alias("datasetId"), F.lit(r[0]).alias("seriesCode"))
+                       for r in daily.select("internal_series_code").distinct().orderBy("internal_series_code").collect()])
     req = requests(spark, sf)
     body = F.to_json(F.struct(F.lit(RQ.REQUEST_TYPE).alias("type"), F.col("run_id").alias("runId"),
                               F.col("metric_code").alias("metricCode"),
                               F.col("expression_type").alias("expressionType"),
                               F.col("expression_json").alias("expressionJson"),
-                              F.array().cast("array<struct<datasetId:string,seriesCode:string>>").alias("inputs"),
-                              F.struct(F.create_map().cast("map<string,struct<manifestPath:string,projectionsPath:string>>")
-                                       .alias("datasets")).alias("catalog"),
+                              inputs.alias("inputs"), F.struct(F.create_map(F.lit("events"), F.struct(
+                                  F.lit(manifest).alias("manifestPath"), F.lit(f"{root}/projections").alias("projectionsPath")))
+                                  .alias("datasets")).alias("catalog"),
                               F.struct(F.lit(f"{root}/out").alias("basePath")).alias("output")))
     # every third customer's request arrives wrapped in a notification envelope
     wrapped = F.to_json(F.struct(F.lit("Notification").alias("Type"), body.alias("Message"),
@@ -165,12 +170,78 @@ def request_stream(spark, sf):
                                  .alias("MessageAttributes")))
     num = F.regexp_extract("run_id", r"(\d+)$", 1).cast("long")
     req.select(F.when(num % 3 == 0, wrapped).otherwise(body).alias("value")).write.mode("overwrite").text(f"{root}/in")
-    RQ.run_stream(spark, f"{root}/in", f"{root}/out", f"{root}/ledger", f"{root}/ckpt",
-                  lambda _todo: D.event_types(spark, sf))
+    RQ.run_stream(spark, f"{root}/in", f"{root}/out", f"{root}/ledger", f"{root}/ckpt")
+    daily.unpersist()
     return (LG.read_ledger(spark, f"{root}/ledger").where("status <> 'STARTED'")
             .select("run_id", "metric_code", "status", "row_count", "error"))
 
 
+@register("bound_runs", f"""
+WITH e AS (SELECT code, obs_time AS t, value AS v FROM ({E_SQL})), o AS (SELECT o_orderpriority AS code, obs_time AS t, value AS v FROM ({O_SQL})),
+half AS (SELECT t FROM (SELECT t, row_number() OVER (ORDER BY t) AS r, count(*) OVER () AS n FROM (SELECT DISTINCT t FROM e)) WHERE r = n // 2 + 1),
+v AS (SELECT t, v FROM e WHERE code = 'view'), early AS (SELECT v.* FROM v, half WHERE v.t < half.t),
+u AS (SELECT t, v FROM o WHERE code = '1-URGENT'),
+kinds AS (SELECT 0 AS k, count(*) AS n, sum(v) AS s FROM early UNION ALL SELECT 1, count(*), sum(v) FROM v
+  UNION ALL SELECT 2, count(*), sum(v) FROM u
+  UNION ALL SELECT 3, count(*), sum(2 * coalesce(a.v, 0) + coalesce(u.v, 0)) FROM v a FULL JOIN u ON a.t = u.t
+  UNION ALL SELECT 8, sum(c * c), sum(2 * s * c) FROM (
+    SELECT t, count(*) AS c, sum(v) AS s FROM (SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS t, value AS v FROM events WHERE event_type = 'signup') GROUP BY t)),
+bad AS (SELECT * FROM (VALUES (4, 'INPUT_READ_ERROR: Series not found: click'), (5, 'MANIFEST_VALIDATION_ERROR: Manifest not found'),
+  (6, 'MANIFEST_VALIDATION_ERROR: Manifest is no JSON object'), (7, 'INPUT_READ_ERROR: Series not found: click')) x(k, error))
+SELECT 'run-' || n_nationkey AS run_id, CASE WHEN error IS NULL THEN 'SUCCESS' ELSE 'FAILURE' END AS status, CAST(n AS BIGINT) AS row_count,
+  round(s, 2) AS total, error
+FROM nation LEFT JOIN kinds ON k = n_nationkey % 9 LEFT JOIN bad ON bad.k = n_nationkey % 9""")
+def bound_runs(spark, sf):
+    """Runs of one batch that name the same dataset with different
+    manifests, one code from two datasets, a leaf outside their inputs, and inputs that
+    can't be read, each reading its own; rows read back from each request's ``basePath``."""
+    root = scratch(spark, "bound")
+    day = F.col("obs_time")
+    events = D.event_types(spark, sf).df.select("obs_time", "value", F.col("series_code").alias("internal_series_code"))
+    days = events.select(day).distinct().orderBy(day)
+    middle = days.limit(days.count() // 2 + 1).agg(F.max(day)).first()[0]
+    views = events.where("internal_series_code = 'view'")
+    urgent = D.table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").groupBy(
+        F.col("o_orderdate").cast("date").cast("timestamp_ntz").alias("obs_time")).agg(F.sum("o_totalprice").alias("value"))
+    raw = D.table(spark, sf, "events").where("event_type = 'signup'").select(
+        F.col("ts").cast("date").cast("timestamp_ntz").alias("obs_time"), "value", F.col("event_type").alias("internal_series_code"))
+    where = {}
+    for name, df in (("early", views.where(day < F.lit(middle))), ("all", views.unionByName(raw)),
+                     ("other", urgent.withColumn("internal_series_code", F.lit("view"))),
+                     ("gone", events.where("internal_series_code = 'click'").limit(1))):
+        where[name] = {"manifestPath": store(spark, df, f"{root}/{name}", name), "projectionsPath": f"{root}/{name}/projections"}
+    # a manifest that lists a file that is not there, one that is no JSON, and none at all
+    listed = spark.read.text(where["gone"]["manifestPath"]).select(F.regexp_replace("value", r"part-[^\"]*parquet", "part-0.parquet").alias("value"))
+    listed.write.text(f"{root}/lost")
+    spark.range(1).select(F.lit("{broken").alias("value")).write.text(f"{root}/broken")
+    where["gone"]["manifestPath"] = f"{root}/lost"
+    leaf = {"series_code": "view"}
+    once = {"op": "max", "operands": [leaf, leaf]}
+    double = {"op": "sum", "operands": [leaf, leaf]}
+    asks = {0: (once, [("ds", "early", "view")]), 1: (once, [("ds", "all", "view")]), 2: (once, [("ds", "all", "view"), ("or", "other", "view")]),
+            3: ({"op": "sum", "operands": [leaf, leaf, {"series_code": "view2"}]}, None),
+            4: (dict(once, operands=[leaf, {"series_code": "click"}]), [("ds", "all", "view")]),
+            5: (double, [("ds", "none", "view")]), 6: (double, [("ds", "broken", "view")]), 7: (double, [("ds", "gone", "click")]),
+            8: (dict(double, operands=[{"series_code": "signup"}] * 2), [("ds", "all", "signup")])}
+    where["none"] = {"manifestPath": f"{root}/absent.json", "projectionsPath": f"{root}/none"}
+    where["broken"] = {"manifestPath": f"{root}/broken", "projectionsPath": f"{root}/none"}
+    where["renamed"] = {"manifestPath": store(spark, urgent.withColumn("internal_series_code", F.lit("view2")), f"{root}/renamed", "renamed"),
+                        "projectionsPath": f"{root}/renamed/projections"}
+    asks[3] = (asks[3][0], [("ds", "all", "view"), ("or", "renamed", "view2")])
+    kinds = spark.createDataFrame([(k, json.dumps({
+        "type": RQ.REQUEST_TYPE, "metricCode": f"metric.{k}", "expressionType": "composite", "expressionJson": e,
+        "inputs": [{"datasetId": d, "seriesCode": c} for d, _, c in ins], "catalog": {"datasets": {d: where[n] for d, n, _ in ins}},
+        "output": {"basePath": f"{root}/out/{k}/"}})) for k, (e, ins) in asks.items()], "k long, body string")
+    asked = D.table(spark, sf, "nation").select("n_nationkey", (F.col("n_nationkey") % 9).alias("k")).join(kinds, "k")
+    asked.select(F.concat(F.lit('{"runId":"run-'), "n_nationkey", F.lit('",'), F.expr("substring(body, 2)")).alias("value")).write.text(f"{root}/in")
+    RQ.run_stream(spark, f"{root}/in", f"{root}/stream", f"{root}/ledger", f"{root}/ckpt")
+    rows = spark.read.schema("run_id string, value double").option("recursiveFileLookup", "true").json(f"{root}/out/*/*/data")
+    sums = rows.groupBy("run_id").agg(F.round(F.sum("value"), 2).alias("total"))
+    done = LG.read_ledger(spark, f"{root}/ledger").where("status <> 'STARTED'")
+    shown = F.when(F.col("error").startswith("MANIFEST"), F.substring_index("error", ":", 2)).otherwise(F.split("error", " [(]")[0])
+    return done.join(sums, "run_id", "left").select("run_id", "status", "row_count", "total", shown.alias("error"))
+
+
 @register("output_manifest", f"""SELECT 'run-1' AS run_id, 'flagship' AS metric_code, COUNT(*) AS row_count, TRUE AS has_files,
   TRUE AS ok FROM ({ORACLE["flagship_sma_ratio"]})""")
 def output_manifest(spark, sf):
