@@ -58,7 +58,7 @@ def _pandas_expected(rows, op, n):
 
 
 @pytest.mark.parametrize("op,n", [("sma", 5), ("sum", 3), ("max", 4), ("min", 7), ("ema", 6),
-                                  ("shift", 3), ("lag", 10), ("lag", 45)])
+                                  ("ema", 1), ("ema", 2), ("ema", 90), ("shift", 3), ("lag", 10), ("lag", 45)])
 @pytest.mark.parametrize("plan", [WindowPlan("chunked", 16), WindowPlan("chunked", 3), WindowPlan("partition")],
                          ids=["chunk16", "chunk3", "partition"])
 def test_matches_pandas(spark, panel_data, op, n, plan):
@@ -96,3 +96,44 @@ def test_buckets_are_even(spark, when):
     assert got == [r[1] for r in sorted(rows, key=lambda r: (r[0] or start, r[1]))]
     out = W.shift(df, ["k"], "v", 1, "before", WindowPlan("chunked", 100)).collect()
     assert len(out) == 5000 and sum(r["before"] is None for r in out) == 1
+
+
+@pytest.mark.parametrize("plan", [WindowPlan("chunked", 50), WindowPlan("partition")], ids=["chunk50", "partition"])
+def test_long_windows_equal_pandas(spark, panel_data, monkeypatch, plan):
+    """Block heads and tails in place of frames; no value is lost beside much larger ones."""
+    monkeypatch.setattr(W, "LONG_WINDOW", 1)
+    rng = np.random.default_rng(3)
+    rows = [("mixed", "A", datetime(2020, 1, 1) + timedelta(days=i), float(rng.normal() * 10.0 ** rng.integers(-8, 9))) for i in range(200)]
+    rows += [r for r in panel_data if r[0] == "hot"][:150] + [("dense", "A", datetime(2021, 1, 1) + timedelta(days=i), float(i % 17)) for i in range(130)]
+    df = spark.createDataFrame(rows, "k string, code string, obs_time timestamp_ntz, v double")
+    for op, n in (("sma", 2), ("sum", 5), ("max", 9), ("min", 100), ("sum", 130)):
+        got = {(r.k, r.obs_time): r.o for r in W.rolling(df, ["k"], "v", n, op, "o", plan).collect()}
+        pdf = pd.DataFrame(rows, columns=["k", "code", "t", "v"]).astype({"v": "float64"})
+        checked = 0
+        for k, g in pdf.sort_values("t").groupby("k"):
+            v = np.where(np.isfinite(g["v"]), g["v"], np.nan)
+            for i, t in enumerate(g["t"]):
+                part, have = v[max(0, i - n + 1):i + 1], got.pop((k, t.to_pydatetime()))
+                if len(part) < n or np.isnan(part).any():
+                    assert have is None
+                    continue
+                checked += 1
+                exact = {"max": max, "min": min}.get(op, math.fsum)(part.tolist()) / (n if op == "sma" else 1)
+                assert abs(have - exact) <= 1e-12 * math.fsum(abs(part)), (op, n, k, have, exact)
+        assert not got and checked > 30
+
+
+def test_ema_over_many_blocks_and_long_gaps(spark):
+    rng = np.random.default_rng(5)
+    v = [None if 300 < i < 900 or rng.random() < 0.3 else float(rng.normal() * 10.0 ** rng.integers(0, 6)) for i in range(2000)]
+    df = spark.createDataFrame([(datetime(2020, 1, 1) + timedelta(hours=i), x) for i, x in enumerate(v)], "obs_time timestamp_ntz, v double")
+    for span in (2, 7):
+        want = pd.Series(v, dtype="float64").ewm(span=span, adjust=False).mean().tolist()
+        scale = pd.Series(v, dtype="float64").abs().ewm(span=span, adjust=False).mean().tolist()
+        for plan in (WindowPlan("partition"), WindowPlan("chunked", 300)):
+            out = W.ema(df.withColumn("k", F.lit(None).cast("string")), ["k"], "v", span, "o", plan)
+            plan_text = out._jdf.queryExecution().executedPlan().toString()
+            assert "Python" not in plan_text and "Pandas" not in plan_text
+            got = [r.o for r in out.orderBy("obs_time").collect()]
+            assert len(got) == len(want)
+            assert all((g is None and math.isnan(w)) or abs(g - w) <= 1e-11 * s for g, w, s in zip(got, want, scale))

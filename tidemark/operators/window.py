@@ -24,9 +24,11 @@ Physical strategies (``auto`` picks one per evaluation):
       and, as a question, at ``t - N days``; a question takes the last
       observation ahead of it in its bucket, else the carry (last observation of
       all earlier buckets, from the small bucket table);
-    * ema: an exact sequential pass per bucket (pandas ``ewm``, the same
-      primitive the semantics are defined by), with the state entering each
-      bucket folded from per-bucket affine summaries.
+    * ema: a running sum of decayed terms in blocks of bounded decay, each taking the last
+      average of the block before; places and decay ahead of a bucket come from small tables.
+
+Rolling windows over more than ``LONG_WINDOW`` rows use running aggregates of blocks, forwards and
+backwards, so that their cost per row does not grow with the window.
 
 No step puts a whole series into one task or onto the driver.  The bucketed rows and the
 small tables are written while the plan is built (they are jobs of their own).
@@ -39,20 +41,19 @@ rows under one key — and uses ``partition`` when times are unique and that is
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.numeric import finite
 from tidemark.model import OBS_TIME
 from tidemark.session import scratch_folder
 
 ROLLING_AGGS = ("sma", "sum", "max", "min")
+LONG_WINDOW = 64  # from here on frames cost more per row than two running aggregates and a lag
+NATS = 80.0  # decay of an ema block: e ** 80 is no overflow, e ** -80 far below a double's precision
 
 _K, _B, _G, _C, _HALO = "__k", "__b", "__g", "__c", "__halo"
 _U, _P = "__u", "__p"
@@ -149,6 +150,28 @@ def _rolling_expr(agg: str, x: Column, w, n: int) -> Column:
     return F.when(F.count(x).over(w) == n, fn(x).over(w))
 
 
+def _long_rolling(df: DataFrame, part: list[str], place: str, col: str, n: int, agg: str, out: str) -> DataFrame:
+    """The rolling aggregate at a cost per row that does not grow with ``n``.
+
+    ``place`` numbers the rows of each ``part``.  They are cut into blocks of ``n``; a frame is
+    the tail of one block and the head of the next (or a whole block), so two running
+    aggregates, forwards and backwards, and one lag give it.  Sums are added from parts
+    of the frame only, never subtracted, so they are as exact as direct ones.
+    """
+    fn = {"sma": F.sum, "sum": F.sum, "max": F.max, "min": F.min}[agg]
+    df = df.withColumn("__x", finite(F.col(col))).withColumn("__blk", F.floor(F.col(place) / n))
+    until = lambda order: Window.partitionBy(*part, "__blk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    head, tail = until(F.col(place)), until(F.col(place).desc())
+    state = lambda w: F.struct(fn("__x").over(w).alias("v"), F.count("__x").over(w).alias("c"))
+    df = df.withColumn("__tail", state(tail)).withColumn("__head", state(head))
+    df = df.withColumn("__old", F.lag("__tail", n - 1).over(Window.partitionBy(*part).orderBy(place)))
+    whole = F.col(place) % n == n - 1
+    both = {"max": F.greatest, "min": F.least}.get(agg, lambda a, b: a + b)(F.col("__old.v"), F.col("__head.v"))
+    v = F.when(whole, F.when(F.col("__head.c") == n, F.col("__head.v"))).otherwise(
+        F.when(F.col("__old.c") + F.col("__head.c") == n, both))
+    return df.withColumn(out, v / n if agg == "sma" else v)
+
+
 def _drop_internal(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("__")])
 
@@ -165,13 +188,19 @@ def rolling(df: DataFrame, keys: list[str], col: str, n: int, agg: str, out: str
     plan = plan or WindowPlan.from_session()
     x = finite(F.col(col))
     if plan.strategy == "partition":
-        w = Window.partitionBy(*keys).orderBy(*_order(col)).rowsBetween(-(n - 1), 0)
-        return df.withColumn(out, _rolling_expr(agg, x, w, n))
+        w = Window.partitionBy(*keys).orderBy(*_order(col))
+        if n > LONG_WINDOW:
+            placed = df.withColumn(_G, F.row_number().over(w) - 1)
+            return _drop_internal(_long_rolling(placed, keys, _G, col, n, agg, out))
+        return df.withColumn(out, _rolling_expr(agg, x, w.rowsBetween(-(n - 1), 0), n))
     base = _with_ordinal(_dealt(df, keys, plan, _order(col)))
     chunks, _ = _halo_chunks(base, n - 1, plan)
-    w = Window.partitionBy(_K, _C).orderBy(_G).rowsBetween(-(n - 1), 0)
-    res = chunks.withColumn(out, _rolling_expr(agg, x, w, n)).where(~F.col(_HALO))
-    return _drop_internal(res)
+    if n > LONG_WINDOW:
+        res = _long_rolling(chunks, [_K, _C], _G, col, n, agg, out)
+    else:
+        w = Window.partitionBy(_K, _C).orderBy(_G).rowsBetween(-(n - 1), 0)
+        res = chunks.withColumn(out, _rolling_expr(agg, x, w, n))
+    return _drop_internal(res.where(~F.col(_HALO)))
 
 
 def shift(df: DataFrame, keys: list[str], col: str, n: int, out: str,
@@ -225,105 +254,77 @@ def calendar_lag(df: DataFrame, keys: list[str], col: str, days: int, out: str,
 
 # ---------------------------------------------------------------- ema ----
 
-def _alpha(span: int) -> float:
-    return 2.0 / (span + 1.0)
-
-
-def _ewm(values: np.ndarray, span: int) -> np.ndarray:
-    # pandas exponential mean, adjust=False, ignore_na=False (the defining primitive)
-    return pd.Series(values, dtype="float64").ewm(span=span, adjust=False).mean().to_numpy()
-
-
-def _sorted_x(pdf: pd.DataFrame, col: str, place: str | None = None) -> tuple[pd.DataFrame, np.ndarray]:
-    """Rows by ``place`` if given, else by time and value, with their finite values."""
-    x = pdf[col].to_numpy(dtype="float64", na_value=np.nan)
-    x = np.where(np.isfinite(x), x, np.nan)
-    pdf = pdf.assign(__x=x).sort_values([place] if place else [OBS_TIME, "__x"], na_position="last", kind="mergesort")
-    return pdf, pdf["__x"].to_numpy()
-
-
 def ema(df: DataFrame, keys: list[str], col: str, span: int, out: str,
         plan: WindowPlan | None = None) -> DataFrame:
     """Exponential moving average, ``span`` n, ``adjust=False``.
 
     Leading missing rows give NULL; interior missing rows carry the last
     average and decay the next weight by the gap in rows (ignore_na=False).
+
+    A valid row maps the average y before it to ``A y + B x``; with ``w = (1 - alpha) ** gap``
+    A is w / (w + alpha) and B alpha / (w + alpha).  Such maps compose by products, so y
+    is a running sum of B x, each term decayed by the product of the A after it.  In logs these
+    products are sums ("nats").  A series is cut where its running nats pass a multiple
+    of NATS: within a block terms are scaled by at most e ** NATS, the block before gives its
+    last average, and what lies before that has decayed by NATS at least.
     """
     plan = plan or WindowPlan.from_session()
-    out_schema = T.StructType(df.schema.fields + [T.StructField(out, T.DoubleType())])
+    alpha = 2.0 / (span + 1.0)
     cols = df.columns
-
-    if plan.strategy == "partition":
-        def whole(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf, x = _sorted_x(pdf, col)
-            return pdf[cols].assign(**{out: _ewm(x, span)})
-        return df.groupBy(*keys).applyInPandas(whole, out_schema)
-
-    base = _dealt(df, keys, plan, [F.col(OBS_TIME).asc_nulls_last(), finite(F.col(col)).asc_nulls_last()])
-    alpha, fct = _alpha(span), 1.0 - _alpha(span)
-    gkeys = [*keys, _B]
-
-    def summary(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, x = _sorted_x(pdf, col, _P)
-        valid = np.flatnonzero(~np.isnan(x))
-        row = pdf.iloc[:1][gkeys].copy()
-        row["__rows"] = len(x)
-        if len(valid) == 0:
-            row["__f"], row["__xf"], row["__a"], row["__bb"], row["__tail"] = -1, np.nan, np.nan, np.nan, len(x)
-            return row
-        f0 = int(valid[0])
-        rest = x[f0 + 1:]
-        # affine map of the first valid state to the bucket's last state
-        gaps = np.diff(valid)                         # multiplications between valid rows
-        a = np.prod((fct ** gaps) / (fct ** gaps + alpha)) if len(gaps) else 1.0
-        b = _ewm(np.concatenate([[0.0], rest]), span)[-1]
-        row["__f"], row["__xf"], row["__a"], row["__bb"] = f0, x[f0], a, b
-        row["__tail"] = len(x) - 1 - int(valid[-1])
-        return row
-
-    sum_schema = T.StructType([base.schema[k] for k in gkeys] + [
-        T.StructField("__rows", T.LongType()), T.StructField("__f", T.LongType()),
-        T.StructField("__xf", T.DoubleType()), T.StructField("__a", T.DoubleType()),
-        T.StructField("__bb", T.DoubleType()), T.StructField("__tail", T.LongType())])
-    summaries = base.select(*gkeys, _P, col).groupBy(*gkeys).applyInPandas(summary, sum_schema)
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        # sequential over the (few) buckets of one key: state entering each bucket
-        pdf = pdf.sort_values(_B)
-        rows, first, xf = pdf["__rows"].to_numpy(), pdf["__f"].to_numpy(), pdf["__xf"].to_numpy()
-        a, bb, tail = pdf["__a"].to_numpy(), pdf["__bb"].to_numpy(), pdf["__tail"].to_numpy()
-        y, gap = np.nan, 0
-        ys, gs = np.empty(len(pdf)), np.empty(len(pdf), dtype="int64")
-        for i in range(len(pdf)):
-            ys[i], gs[i] = y, gap
-            if first[i] < 0:
-                gap += int(rows[i])
-                continue
-            if np.isnan(y):
-                y_f = xf[i]
-            else:
-                ow = fct ** (gap + int(first[i]) + 1)
-                y_f = (ow * y + alpha * xf[i]) / (ow + alpha)
-            y, gap = a[i] * y_f + bb[i], int(tail[i])
-        return pdf[gkeys].assign(__yin=ys, __gin=gs)
-
-    carry_schema = T.StructType([base.schema[k] for k in gkeys] + [
-        T.StructField("__yin", T.DoubleType()), T.StructField("__gin", T.LongType())])
-    carry = _small(summaries.groupBy(*keys).applyInPandas(fold, carry_schema).withColumn(_K, _key(keys)),
-                   "emacarry")
-
-    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, x = _sorted_x(pdf, col, _P)
-        y_in, g_in = pdf["__yin"].iloc[0], pdf["__gin"].iloc[0]
-        res, valid = np.full(len(x), np.nan if pd.isna(y_in) else float(y_in)), np.flatnonzero(~np.isnan(x))
-        if len(valid):
-            f0 = int(valid[0])
-            if not pd.isna(y_in):  # the first value meets the state, decayed over all rows between
-                ow = fct ** (int(g_in) + f0 + 1)
-                x = x.copy()
-                x[f0] = (ow * y_in + alpha * x[f0]) / (ow + alpha)
-            res[f0:] = _ewm(x[f0:], span)
-        return pdf[cols].assign(**{out: res})
-
-    joined = base.join(carry.drop(*keys), [_K, _B], "left").drop(_K)
-    return joined.groupBy(*gkeys).applyInPandas(finish, out_schema)
+    order = [F.col(OBS_TIME).asc_nulls_last(), finite(F.col(col)).asc_nulls_last()]
+    upto, before = (Window.unboundedPreceding, 0), (Window.unboundedPreceding, -1)
+    alone = plan.strategy == "partition"
+    if alone:
+        part, bucket = keys, []
+        rows = df.withColumn(_G, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    else:
+        part, bucket = [_K], [_B]
+        rows = _dealt(df, keys, plan, order)
+        # of each bucket: the ordinal of its first row, less its place, and the last valid ordinal before
+        prior = Window.partitionBy(_K).orderBy(_B).rowsBetween(*before)
+        counts = rows.groupBy(_K, _B).agg(F.count(F.lit(1)).alias("__cnt"), F.min(_P).alias("__first"),
+                                          F.max(F.when(finite(F.col(col)).isNotNull(), F.col(_P))).alias("__lastp"))
+        counts = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(prior), F.lit(0)) - F.col("__first"))
+        counts = counts.select(_K, _B, "__off", F.max(F.col("__off") + F.col("__lastp")).over(prior).alias("__valid0"))
+        rows = rows.join(_small(counts, "offsets"), [_K, _B]).withColumn(_G, F.col("__off") + F.col(_P))
+    run = Window.partitionBy(*part, *bucket).orderBy(_G)
+    rows = rows.withColumn("__x", finite(F.col(col)))
+    rows = rows.withColumn("__valid", F.when(F.col("__x").isNotNull(), F.col(_G)))
+    earlier = F.lit(None) if alone else F.col("__valid0")
+    last = F.coalesce(F.max("__valid").over(run.rowsBetween(*before)), earlier)
+    if span == 1:  # nothing of the past is left
+        rows = rows.withColumn("__at", F.coalesce(F.max("__valid").over(run.rowsBetween(*upto)), earlier))
+        there = rows.where(F.col("__valid").isNotNull()).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(part)],
+                                                                F.col("__valid").alias("__v"), F.col("__x").alias(out))
+        on = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(part)] + [F.col("__at") == F.col("__v")]
+        return rows.join(there, on, "left").select(*cols, out)
+    rows = rows.withColumn("__gap", F.when(F.col("__x").isNotNull(), F.col(_G) - last))
+    w = F.exp(F.col("__gap") * math.log1p(-alpha))
+    # the first valid row of a series has no gap: nothing decays into it, and it counts in full
+    rows = rows.withColumn("__nats", F.when(F.col("__x").isNotNull(), F.coalesce(
+        F.log(w + alpha) - F.col("__gap") * math.log1p(-alpha), F.lit(0.0))))
+    rows = rows.withColumn("__bx", F.col("__x") * F.coalesce(alpha / (w + alpha), F.lit(1.0)))
+    total = F.sum("__nats").over(run.rowsBetween(*upto))
+    if not alone:
+        nats = rows.groupBy(_K, _B).agg(F.sum("__nats").alias("__own"))
+        rows = rows.join(_small(nats.select(_K, _B, F.sum("__own").over(prior).alias("__nats0")), "nats"), [_K, _B])
+        earlier = F.col("__nats0")
+        total = F.when(total.isNotNull() | earlier.isNotNull(), F.coalesce(total, F.lit(0.0)) + F.coalesce(earlier, F.lit(0.0)))
+    rows = rows.withColumn("__blk", F.floor(total / NATS))
+    block = Window.partitionBy(*part, "__blk").orderBy(_G)
+    # nats since the block's first valid row, and the step into that row
+    rows = rows.withColumn("__into", F.first("__nats", ignorenulls=True).over(block.rowsBetween(*upto)))
+    rows = rows.withColumn("__since", F.sum("__nats").over(block.rowsBetween(*upto)) - F.col("__into"))
+    rows = rows.withColumn("__s", F.exp(-F.col("__since")) * F.sum(F.col("__bx") * F.exp("__since")).over(block.rowsBetween(*upto)))
+    decay = F.exp(-(F.col("__since") + F.col("__into")))
+    if alone:
+        rows = rows.withColumn("__before", F.lag("__s").over(Window.partitionBy(*keys).orderBy(_G)))
+        rows = rows.withColumn("__before", F.first("__before").over(block.rowsBetween(*upto)))
+    else:  # the row before a block's first row is the last one of the block before
+        rows = _small(rows.select(_K, *cols, _G, "__blk", "__since", "__into", "__s"), "emarows")
+        ends = rows.where(F.col("__blk").isNotNull()).groupBy(_K, "__blk").agg(
+            F.min(_G).alias("__from"), F.max(_G).alias("__to"), F.max_by("__s", _G).alias("__end"))
+        ends = _small(ends, "emablocks")
+        before_it = ends.select(_K, (F.col("__to") + 1).alias("__from"), F.col("__end").alias("__before"))
+        rows = rows.join(ends.join(before_it, [_K, "__from"]).select(_K, "__blk", "__before"), [_K, "__blk"], "left")
+    return rows.select(*cols, (F.col("__s") + F.coalesce(decay * F.col("__before"), F.lit(0.0))).alias(out))

@@ -70,6 +70,14 @@ def scratch_folder(spark: SparkSession, what: str) -> str:
     return path
 
 
+def written(df, what: str):
+    """``df`` written once to the shared folder and read back: cuts the lineage, and its
+    size in bytes is known to the planner."""
+    path = scratch_folder(df.sparkSession, what)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clean_scratch(spark: SparkSession) -> int:
     """Delete the intermediate tables of this process; frames that still read
     them must not be used afterwards."""
