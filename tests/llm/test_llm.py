@@ -226,10 +226,21 @@ def test_exact_dedup(docs, empty, counters):
     for r in got:
         own = groups[bytes(r["digest"])]
         best = min(own, key=lambda x: (-len(x[1] or ""), x[0] is not None, x[0] or 0))
-        assert (r["keep_id"], r["group_size"], r["kept"]) == (best[0], len(own), r["doc_id"] == best[0])
+        assert (r["keep_id"], r["group_size"]) == (best[0], len(own)) and (not r["kept"] or r["doc_id"] == best[0])
+    assert collections.Counter(bytes(r["digest"]) for r in got if r["kept"]) == collections.Counter(list(groups))
     assert rows(dedup_exact.dedup_exact(empty)) == []
 
 
+@pytest.mark.parametrize("counters", [1, 256])
+def test_exact_dedup_keeps_one_row(spark, counters):
+    data = [(6, "xx"), (6, "x x"), (1, "yy"), (1, "yy"), (None, "z"), (None, "z"), (2, "x\tx"), (6, "x x")]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    got = rows(dedup_exact.dedup_exact(df, counters))
+    assert len(got) == len(data)
+    assert sorted((r["doc_id"] or -1, r["group_size"]) for r in got if r["kept"]) == [(-1, 2), (1, 2), (2, 4)]
+    assert all(r["keep_id"] == 2 for r in got if r["group_size"] == 4)
+
+
 def test_heavy_hitters_find_all(spark):
     values = [b"a"] * 400 + [b"b"] * 300 + [bytes([i % 256, i // 256]) for i in range(900)]
     df = spark.createDataFrame([(v,) for v in values], "digest binary").repartition(40)

@@ -8,8 +8,9 @@ no hot group is shuffled.  The other digests, none of them hot, are grouped and
 joined by ordinary shuffles.  Of equal texts, the row with the most code points
 in the original text, then the smallest doc_id stays.
 
-Defined results: rows that repeat a doc_id share its verdict if their texts are
-equal too; a null doc_id is smallest; an empty table gives an empty result;
+Defined results: one row of each group stays, also where rows repeat a doc_id (of
+rows alike in length and doc_id, the first in the written table); a null doc_id is
+smallest; an empty table gives an empty result;
 columns besides doc_id and text are ignored.
 """
 
@@ -70,18 +71,18 @@ def dedup_exact(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """doc_id, keep_id, group_size, kept, digest (SHA-256 of the normalised text)."""
     text = F.coalesce("text", F.lit(""))
     rows = stored(docs.select("doc_id", F.length(text).alias("chars"), F.unhex(
-        F.sha2(F.translate(text, SPACES, ""), 256)).alias("digest")), "exact-digests")
+        F.sha2(F.translate(text, SPACES, ""), 256)).alias("digest"), F.monotonically_increasing_id().alias("row")), "exact-digests")
     n = rows.count()
-    best = F.min(F.struct((-F.col("chars")).alias("short"), "doc_id"))
+    best = F.min(F.struct((-F.col("chars")).alias("short"), "doc_id", "row"))
     groups = [F.count(F.lit(1)).alias("group_size"), best.alias("best")]
     found = heavy_hitters(rows, counters)
     verified = (rows.join(F.broadcast(found.select("digest")), "digest").groupBy("digest").agg(*groups)
                 .where(F.col("group_size") > n // (counters + 1)))
-    # counters rows at most, of 60 bytes each
+    # counters rows at most, of 70 bytes each
     winners = F.broadcast(stored(verified, "exact-winners"))
     heavy = rows.join(winners, "digest")
     light = rows.join(winners.select("digest"), "digest", "left_anti")
     light = light.join(light.groupBy("digest").agg(*groups), "digest")
     return heavy.unionByName(light).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
-        F.col("doc_id").eqNullSafe(F.col("best.doc_id")).alias("kept"), "digest")
+        (F.col("row") == F.col("best.row")).alias("kept"), "digest")

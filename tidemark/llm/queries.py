@@ -96,8 +96,8 @@ def op4(spark, sf):
 OP5_SQL = r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS chars, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS h FROM documents),
 k AS (SELECT *, first_value(doc_id) OVER (PARTITION BY h ORDER BY chars DESC, doc_id NULLS FIRST) AS keep_id,
-  count(*) OVER (PARTITION BY h) AS group_size FROM d)
-SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, h AS text_sha256 FROM k"""
+  row_number() OVER (PARTITION BY h ORDER BY chars DESC, doc_id NULLS FIRST) AS place, count(*) OVER (PARTITION BY h) AS group_size FROM d)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, h AS text_sha256 FROM k"""
 
 
 @register("op5_exact_dedup", OP5_SQL)
