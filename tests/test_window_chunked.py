@@ -58,7 +58,7 @@ def _pandas_expected(rows, op, n):
 
 
 @pytest.mark.parametrize("op,n", [("sma", 5), ("sum", 3), ("max", 4), ("min", 7), ("ema", 6),
-                                  ("ema", 1), ("ema", 2), ("ema", 90), ("shift", 3), ("lag", 10), ("lag", 45)])
+                                  ("ema", 1), ("ema", 90), ("shift", 3), ("lag", 10), ("lag", 45)])
 @pytest.mark.parametrize("plan", [WindowPlan("chunked", 16), WindowPlan("chunked", 3), WindowPlan("partition")],
                          ids=["chunk16", "chunk3", "partition"])
 def test_matches_pandas(spark, panel_data, op, n, plan):
