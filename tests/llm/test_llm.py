@@ -78,7 +78,7 @@ def water(sizes, share=1.0, repeats=3):
 
 
 def test_mixing(docs, empty):
-    got = rows(mixing.schedule(docs, ["doc_id"]).select("doc.doc_id", "size", "source_size", "target", mixing.taken_words().alias("taken"), "source_key"))
+    got = rows(mixing.served(docs, ["doc_id"]).select("doc.doc_id", "size", "source_size", "target", "taken", "source_key"))
     assert len(got) == len(ROWS)
     sizes = collections.Counter()
     for r in ROWS:
@@ -91,12 +91,29 @@ def test_mixing(docs, empty):
         assert r["source_size"] == sizes[key] and r["target"] == pytest.approx(want[key]) and 0 <= r["taken"] <= 3 * r["size"]
         taken[key] += r["taken"]
     assert all(abs(taken[k] - want[k]) <= 1 for k in keys)
-    again = rows(mixing.schedule(docs.repartition(5), ["doc_id"]).select("doc.doc_id", mixing.taken_words().alias("taken")))
+    again = rows(mixing.served(docs.repartition(5), ["doc_id"]).select("doc.doc_id", "taken"))
     key = lambda r: (str(r["doc_id"]), r["taken"])
     assert sorted(map(key, again)) == sorted(map(key, got))
     mixed = mixing.mix(docs)
     assert mixed.columns == docs.columns and max(collections.Counter(r["doc_id"] for r in rows(mixed)).values()) <= 6
-    assert rows(mixing.mix(empty)) == []
+    assert rows(mixing.mix(empty)) == [] and rows(mixing.served(empty, ["doc_id"])) == []
+
+
+@pytest.mark.parametrize("share,range_rows", [(1.0, 200_000), (0.4, 10), (2.0, 10), (3.0, 10)])
+def test_served_words_are_those_of_a_plain_fair_queue(spark, share, range_rows):
+    rng = np.random.default_rng(3)
+    data = [(i, " ".join(["w"] * int(rng.integers(0, 40))), "abcd"[int(rng.integers(4)) if i % 3 else 0]) for i in range(150)] + [(900, "w " * 700, "e")]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["taken"] for r in rows(mixing.served(df, ["doc_id"], share=share, range_rows=range_rows).select("doc.doc_id", "taken"))}
+    words = []  # one by one: the virtual time at which each word of each copy is done
+    for at, s in enumerate("abcde"):
+        own = sorted((hashlib.md5(f"mix-1|{i}".encode()).hexdigest(), i, len(t.split())) for i, t, source in data if source == s)
+        queue = [i for _, i, n in own for _ in range(n)] * 3
+        words += [((k + 1) / (5, 2, 1, 5, 2)[at], s, i) for k, i in enumerate(queue)]
+    budget = int(sum(len(t.split()) for _, t, _ in data) * share + 0.5)
+    want = collections.Counter(i for *_, i in sorted(words)[:budget])
+    assert all(abs(got[i] - want[i]) <= 2 for i in got) and abs(sum(got.values()) - budget) <= 5
+    assert sum(got[i] != want[i] for i in got) <= 5  # at most the word in service of each source
 
 
 @pytest.mark.parametrize("share,range_rows", [(1.0, 200_000), (0.4, 30), (3.0, 30)])

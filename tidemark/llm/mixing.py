@@ -4,14 +4,15 @@ Every document of a source gets a place by a hash (the shuffle) and a virtual
 finish time: the source's words up to and with it, divided by the source's
 weight.  A source that runs out starts over, ``max_repeats`` passes at most.  In
 the order of finish time over all sources, documents are taken until the total
-budget is spent (``mix``).  What each source is served by then if documents could be
-cut, ``weight * level`` words or all its passes, follows from the sums per source
-alone (``schedule``, ``taken_words``): no sort or truncation is computed for it.
+budget is spent: whole ones (``mix``), or with the served part of the one document that
+every source has in service when the budget ends (``served``).  Between two finish times
+a source is served at its weight, so the virtual time at which the budget is spent is
+found among the sorted starts and finishes of all copies, as a fraction of whole numbers.
 
 Scale: running sums are made in two steps, in hash buckets of a source and over
 the buckets' sums, so a hot source is spread over all tasks; only sums per
-(source, bucket) meet.  The truncation sums words per range of the sorted finish
-times and runs inside one range.  Source names are few (one window holds one row of
+(source, bucket) meet.  The truncation sums words (``cut``) or changes of the service
+(``spent_at``) per range of the sorted finish times and runs inside one range.  Source names are few (one window holds one row of
 each).
 
 Defined results: a null text has 0 words; a null source is a source, ordered
@@ -24,6 +25,8 @@ clash.
 from __future__ import annotations
 
 import math
+from decimal import Decimal
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,14 +83,6 @@ def schedule(docs: DataFrame, carry: list[str], weights=(5, 2, 1), share: float
         "source_key", "source_size", "weight", "target", "quota")
 
 
-def taken_words(max_repeats: int = 3) -> Column:
-    """Words taken of a document: each pass serves what the source's quota reaches;
-    the document in service when the level is reached gives its part."""
-    served = [F.greatest(F.lit(0), F.least(F.col("size"), F.col("quota") - F.col("source_size") * p - F.col("before")))
-              for p in range(max_repeats)]
-    return sum(served[1:], served[0]).cast("long")
-
-
 ORDER = ("finish", "place", "pass", "source_key")
 
 
@@ -99,6 +94,56 @@ def passes(at: DataFrame, max_repeats: int) -> DataFrame:
     return copies.withColumn("finish", end / F.col("weight"))
 
 
+def spent_at(copies: DataFrame, weights: tuple[int, ...], budget: int, ranges: int) -> Fraction | None:
+    """The virtual time at which ``budget`` words are served; None if all copies have fewer.
+
+    A copy in service adds its source's weight to the words served per unit of time.  Times
+    are counted in 1 / lcm(weights), so that they are whole.  With W the sum of the changes
+    up to a time t and M that of change * time, t * W - M words (in that unit) are served by t."""
+    unit = math.lcm(*weights)
+    rate = (F.lit(unit) / F.col("weight")).cast("long")
+    end = F.col("source_size") * F.col("pass") + F.col("before") + F.col("size")
+    events = copies.where("size > 0").select(F.inline(F.array(
+        F.struct(((end - F.col("size")) * rate).alias("time"), F.col("weight").cast("long").alias("change")),
+        F.struct((end * rate).alias("time"), (-F.col("weight")).cast("long").alias("change")))))
+    events = events.groupBy("time").agg(F.sum("change").alias("change")).where("change <> 0")
+    events = stored(events.repartitionByRange(ranges, "time").withColumn("range", F.spark_partition_id()), "mix-events")
+    moment = F.sum(F.col("change").cast("decimal(38,0)") * F.col("time")).cast("decimal(38,0)").alias("m")
+    sums = events.groupBy("range").agg(F.min("time").alias("time"), F.sum("change").alias("w"), moment)
+    ahead = Window.partitionBy(F.lit(0)).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0)
+    sums = stored(sums.select("range", "time", F.coalesce(F.sum("w").over(ahead), zero).alias("w"),
+                              F.coalesce(F.sum("m").over(ahead), zero).cast("decimal(38,0)").alias("m")), "mix-event-sums")
+    limit = F.lit(Decimal(budget * unit)).cast("decimal(38,0)")
+    served = (F.col("time").cast("decimal(19,0)") * F.col("w").cast("decimal(18,0)")).cast("decimal(38,0)") - F.col("m")
+    last = sums.where(served <= limit).agg(F.max_by(F.struct("range", "w", "m"), "time").alias("x")).select("x.*").first()
+    if last["range"] is None:
+        return None
+    run = Window.partitionBy("range").orderBy("time").rowsBetween(Window.unboundedPreceding, 0)
+    inside = events.where(F.col("range") == last["range"]).select(
+        "time", (F.sum("change").over(run) + last["w"]).alias("w"),
+        (F.sum(F.col("change").cast("decimal(38,0)") * F.col("time")).over(run) + F.lit(last["m"])).cast("decimal(38,0)").alias("m"))
+    at = inside.where(served <= limit).agg(F.max_by(F.struct("time", "w", "m"), "time").alias("x")).select("x.*").first()
+    return Fraction(budget * unit + int(at["m"]), at["w"] * unit) if at["w"] else None
+
+
+def served(docs: DataFrame, carry: list[str], weights=(5, 2, 1), share: float = 1.0, max_repeats: int = 3,
+           seed: str = "mix-1", range_rows: int = 200_000) -> DataFrame:
+    """Every document with the words that the mix takes of it: doc (struct of the ``carry``
+    columns), size, source_size, source_key, target, taken.  Copies that finish by the virtual
+    time at which the budget is spent count whole, the one in service then by its part."""
+    at = stored(schedule(docs, carry, weights, share, max_repeats, seed), "mix-schedule")
+    n, words = at.agg(F.count(F.lit(1)), F.sum("size")).first()
+    time = spent_at(passes(at.drop("doc"), max_repeats), weights, math.floor((words or 0) * share + 0.5),
+                    math.ceil(max(n, 1) * max_repeats / range_rows))
+    reached = F.col("source_size") * max_repeats
+    if time is not None:  # words that a source of each weight is served by then, to the nearest
+        by_weight = F.create_map(*[x for w in sorted(set(weights)) for x in (F.lit(w), F.lit(math.floor(w * time + Fraction(1, 2))))])
+        reached = F.least(reached, F.element_at(by_weight, F.col("weight")))
+    of_pass = [F.greatest(F.lit(0), F.least(F.col("size"), reached - F.col("source_size") * p - F.col("before"))) for p in range(max_repeats)]
+    return at.select("doc", "size", "source_size", "source_key", "target", sum(of_pass[1:], of_pass[0]).cast("long").alias("taken"))
+
+
 def cut(copies: DataFrame, budget: int, ranges: int) -> Column:
     """Whether a copy is taken.  The copies are range-sorted by ORDER; sums per range tell
     the range where ``budget`` words are spent, and only its rows get running sums.

@@ -77,8 +77,8 @@ SELECT doc_id, size, CAST(s AS BIGINT) AS source_size, target, CAST(
 
 @register("op2_mix_sources", OP2_SQL)
 def op2(spark, sf):
-    at = mixing.schedule(table(spark, sf, "documents").select("doc_id", "source", "text"), ["doc_id"])
-    return at.select("doc.doc_id", "size", "source_size", "target", mixing.taken_words().alias("taken"))
+    out = mixing.served(table(spark, sf, "documents").select("doc_id", "source", "text"), ["doc_id"])
+    return out.select("doc.doc_id", "size", "source_size", "target", "taken")
 
 
 @register("op3_language_id")
