@@ -283,6 +283,8 @@ def test_trie_counts_equal_plain_viterbi(spark, docs, empty, tmp_path):
     for doc_id, text, *_ in ROWS:
         assert got[doc_id] == sum(plain(x.encode()) for x in tokens.PRETOKEN.findall(text or ""))
     texts = ["word1 é éa xxxx", "w" * 70 + " lang", "\u3042 \U0001F600"]
+    deep = "".join(np.random.default_rng(2).choice(list("worda1é"), 900))
+    texts += [deep, deep[:300], deep[:300] + "word" * 40, deep[:65] + "é", "x" + deep, " " * 500 + deep[:70]]
     assert tokens.count_texts(tokens.Pieces(ranks), texts).tolist() == [sum(plain(x.encode()) for x in tokens.PRETOKEN.findall(t)) for t in texts]
     assert rows(tokens.count_tokens(empty, str(path))) == []
     with pytest.raises(ValueError):
@@ -312,6 +314,62 @@ def test_url_rules_and_method(spark):
     assert rows(urls.judge(df.where("false"), RULES)) == []
 
 
+def plain_segment(label, known, total):
+    """The best of all segmentations, by recursion over the last word."""
+    best = {"": (0.0, [])}
+    for end in range(1, len(label) + 1):
+        options = []
+        for start in range(end):
+            n = known.get(label[start:end])
+            p = math.log(n / total) if n else math.log(0.1 / total) - 2.3 * (end - start)
+            options.append((best[label[:start]][0] + p, best[label[:start]][1] + [label[start:end]]))
+        best[label[:end]] = max(options, key=lambda x: x[0])
+    return best[label][1]
+
+
+def test_hosts_are_split_at_long_words_and_seeds(spark):
+    long = "donaudampfschifffahrtsgesellschaftskapitaen"
+    pages = [(1, f"http://{long}free.example.com/a", f"<b>{long} is a free word, videos are too</b>"), (2, "http://xxxvideos.example.org/", "videos " * 20),
+             (3, "http://" + "free" * 60 + ".example.org/x", None), (4, None, None)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    counts = urls.word_counts(df)
+    known = {r["word"]: r["n"] for r in rows(counts)}
+    assert known[long] == 1 and known["xxx"] == 1 and known["videos"] == 21
+    got = {r["host"]: r["words"] for r in rows(urls.split_hosts(df.select(urls.host_of(F.col("url")).alias("host")).distinct(), counts))}
+    assert got[f"{long}free.example.com"][:2] == [long, "free"] and got["xxxvideos.example.org"][:2] == ["xxx", "videos"]
+    assert got["free" * 60 + ".example.org"][:60] == ["free"] * 60 and got[""] == []
+    total = sum(known.values())
+    for host, words in got.items():
+        assert words == [w for label in re.split(r"[^\w]+", host) if label for w in plain_segment(label, known, total)]
+
+
+def test_verdicts_are_those_of_a_plain_naive_bayes(spark):
+    rng = np.random.default_rng(7)
+    names = ["casino", "garden", "poker", "news", "bets", "books", "free", "city"]
+    pages = [(i, f"http://{'-'.join(rng.choice(names, 2))}.h{i % 5}.example.com/{rng.choice(names)}/{rng.choice(names)}/{i % 3}", "<p>" + " ".join(names) + "</p>")
+             for i in range(120)] + [(500, None, None)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in rows(urls.judge(df, RULES))}
+    docs, tally, pages_of = {}, {True: collections.Counter(), False: collections.Counter()}, collections.Counter()
+    for i, u, _ in pages:
+        m = re.match(r".*?://([^/?#]*)([^?#]*)", u or "")
+        host = [w for w in re.split(r"[\W_]+", m[1].lower()) if w] if m else []
+        path = [w for w in re.split(r"[^\w<>]+", re.sub(r"\d+", " <num> ", m[2].lower())) if w] if m else []
+        docs[i] = ["h:" + w for w in host] + ["p:" + w for w in path]
+        bad = bool(set(host) & set(urls.SEEDS))
+        pages_of[bad] += 1
+        tally[bad].update(docs[i])
+    kinds = len(set(tally[True]) | set(tally[False]))
+    assert all(pages_of.values())
+    for i, words in docs.items():
+        odds = math.log((pages_of[True] + 1) / (pages_of[False] + 1))
+        for w in words:
+            odds += math.log((tally[True][w] + 1) / (sum(tally[True].values()) + kinds + 1))
+            odds -= math.log((tally[False][w] + 1) / (sum(tally[False].values()) + kinds + 1))
+        assert got[i]["odds"] == pytest.approx(odds, abs=1e-9)
+        assert got[i]["rule"] is not None or got[i]["verdict"] == ("block" if odds > 0 else "allow")
+
+
 # ------------------------------------------------------------------ near ---
 def plain_components(data, width, percent=80):
     sets = [(i, shingles(t, width)) for i, t in data]

@@ -31,7 +31,7 @@ from tidemark.llm.common import ascii_lower, stored
 SEEDS = ("adult", "ads", "bet", "bets", "bingo", "casino", "gamble", "loan", "loans", "pill", "pills", "poker", "porn",
          "sex", "spam", "track", "warez", "xxx")
 NUMBER = "<num>"
-LONGEST_WORD = 24
+LONGEST_WORD = 63  # of a label by the rules of host names: no longer word can be a part of one
 
 
 def host_of(url: Column) -> Column:
@@ -52,14 +52,16 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> t
     return name, verdict
 
 
-def word_counts(pages: DataFrame) -> DataFrame:
+def word_counts(pages: DataFrame, seeds: tuple[str, ...] = SEEDS) -> DataFrame:
     """word, n over the pages' text (html without tags), paths and the parts of
     hyphenated host names; letters only.  Whole host names don't count: they are what
-    is to be split."""
+    is to be split.  Seeds are words of one occurrence at least."""
     parts = F.regexp_extract_all(host_of(F.col("url")), F.lit(r"\p{L}+(?=-)|(?<=-)\p{L}+"), F.lit(0))
     text = F.concat_ws(" ", F.regexp_replace(F.coalesce("html", F.lit("")), "<[^>]*>", " "), path_of(F.col("url")), F.array_join(parts, " "))
     words = pages.select(F.explode(F.split(F.lower(text), r"[^\p{L}]+")).alias("word"))
-    return (words.where(F.length("word").between(2, LONGEST_WORD)).groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    words = words.where(F.length("word").between(2, LONGEST_WORD)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    least = pages.sparkSession.createDataFrame([(s, 1) for s in seeds], "word string, n long")
+    return words.unionByName(least).groupBy("word").agg(F.max("n").alias("n"))
 
 
 def segment(label: str, known: dict[str, int], total: int) -> list[str]:
@@ -113,7 +115,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], seeds: tuple[str,
     urls = urls.withColumn("shape", F.array_join(shape, " "))
     pairs = stored(urls.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("pages")), "url-pairs")
     hosts = pairs.groupBy("host").agg(F.sum("pages").alias("pages"))
-    hosts = stored(split_hosts(hosts.select("host"), stored(word_counts(pages), "url-words")).join(hosts, "host"), "url-hosts")
+    hosts = stored(split_hosts(hosts.select("host"), stored(word_counts(pages, seeds), "url-words")).join(hosts, "host"), "url-hosts")
     bad = F.arrays_overlap("words", F.array(*[F.lit(s) for s in seeds])).alias("bad")
     labelled = hosts.select("host", "words", "pages", bad)
     path_words = pairs.join(labelled.select("host", "bad"), "host").select(
