@@ -10,8 +10,9 @@ pre-token's count is stored at its last node.  Of equal costs the fewest pieces
 count.  Costs are integers: cost << 20 | pieces, so one minimum decides both.
 
 Map-only: nothing is shuffled and memory is bounded by the block (``block_bytes``
-of text; a longer text is a block of its own).  Pre-tokens over 64 bytes take the
-same recurrence one by one.
+of text; a longer text is a block of its own).  Pre-tokens over 64 bytes are few and
+deep: they walk the same kind of trie depth first, in sorted order, with the scores of
+the current path on a stack, so a prefix shared with the one before is not scored anew.
 
 Defined results: null and empty texts have 0 tokens; a null doc_id is carried;
 repeated rows count alike; an empty table gives an empty result; columns besides
@@ -33,6 +34,7 @@ PRETOKEN = re.compile(r" ?[^ \t\n\v\f\r]+|[ \t\n\v\f\r]+")
 SHIFT = 20
 FAR = np.int64(1) << np.int64(60)
 LONG = 64
+COUNT_BITS = 40
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -80,30 +82,42 @@ class Pieces:
             self._cost = self.cost.tolist()
         return self._edges
 
-    def count_long(self, token: bytes) -> int:
-        """The same recurrence for one long pre-token."""
-        edges = self.edges()
-        best = [0] + [1 << 200] * len(token)
-        pieces = [0] * (len(token) + 1)
-        for i in range(len(token)):
-            state, here, n = 0, best[i], pieces[i]
-            for j in range(i, len(token)):
-                state = edges.get(state << 8 | token[j])
-                if state is None:
+    def count_deep(self, tokens: list[bytes]) -> list[int]:
+        """Pieces of each of the sorted ``tokens``: a walk of their trie, depth first.  Scores
+        of the path down to the node where the next one branches off are kept; a node takes
+        its score from the starts of pieces that end there."""
+        edges, costs = self.edges(), self._cost
+        best, before, out = [0], b"", []
+        # per start of a piece that may go on at the path's end: (start, state), one list a node
+        open_ = [[(0, 0)]]
+        for token in tokens:
+            depth = 0
+            for x, y in zip(before, token):
+                if x != y:
                     break
-                cost = self._cost[state]
-                if cost < FAR:
-                    new = here + (cost >> SHIFT)
-                    if (new, n + 1) < (best[j + 1], pieces[j + 1]):
-                        best[j + 1], pieces[j + 1] = new, n + 1
-        return pieces[-1]
+                depth += 1
+            del best[depth + 1:], open_[depth + 1:]
+            for at in range(depth, len(token)):
+                byte, score, going = token[at], 1 << 200, []
+                for start, state in open_[at]:
+                    state = edges.get(state << 8 | byte)
+                    if state is not None:
+                        going.append((start, state))
+                        if costs[state] < FAR:
+                            score = min(score, best[start] + (costs[state] >> SHIFT << COUNT_BITS) + 1)
+                going.append((at + 1, 0))
+                best.append(score)
+                open_.append(going)
+            out.append(best[-1] & ((1 << COUNT_BITS) - 1))
+            before = token
+        return out
 
     def count(self, tokens: list[bytes]) -> np.ndarray:
         """Pieces of each of the distinct, sorted pre-tokens."""
         lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
         out = np.zeros(len(tokens), np.int64)
-        for i in np.flatnonzero(lengths > LONG):
-            out[i] = self.count_long(tokens[i])
+        deep = np.flatnonzero(lengths > LONG)
+        out[deep] = self.count_deep([tokens[i] for i in deep])
         ids = np.flatnonzero((lengths > 0) & (lengths <= LONG))
         text = np.frombuffer(b"".join(tokens[i] for i in ids), np.uint8).astype(np.int64)
         ends = np.cumsum(lengths[ids])
