@@ -9,7 +9,13 @@ other (pandas merge semantics).
   shuffle for any number of operands, hash aggregation, no sort.  The
   group key includes ``obs_time``, so a hot series spreads over tasks.
 * otherwise a left fold of null-safe full outer joins, which multiplies
-  duplicate times as the reference does (2 x 2 -> 4 rows).
+  duplicate times as the reference does (2 x 2 -> 4 rows).  An instant where an
+  operand has more than ``cell_rows`` rows (one aggregate tells; setting
+  ``spark.tidemark.align.cellRows`` in ``WindowPlan``) would meet in one task, and a full outer join
+  is not split at run time.  Its rows are dealt to a grid instead: every operand is
+  cut into parts of about that many rows, a cell takes one part of each, and the
+  cells are joined like instants of their own.  A cell whose part of some operand is
+  empty gives nothing, as that operand's rows meet the others in other cells.
 """
 
 from __future__ import annotations
@@ -20,13 +26,63 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.model import OBS_TIME
+from tidemark.session import written
+
+CELL_ROWS = 2_000
+_CELL, _HERE, _ID = "__cell", "__here", "__id"
 
 
 def slot(i: int) -> str:
     return f"_a{i}"
 
 
-def align(operands: list[tuple[DataFrame, str]], keys: list[str], unique: bool) -> DataFrame:
+def _fold(sides: list[DataFrame], on: list[str]) -> DataFrame:
+    """Null-safe full outer joins of ``sides``, from the left."""
+    acc = sides[0]
+    for side in sides[1:]:
+        cols = [c for c in side.columns if c not in on]
+        right = side.select(*[F.col(k).alias(f"__r_{k}") for k in on], *cols)
+        cond = reduce(lambda a, b: a & b, [acc[k].eqNullSafe(right[f"__r_{k}"]) for k in on])
+        acc = acc.join(right, cond, "full").select(
+            *[F.coalesce(acc[k], right[f"__r_{k}"]).alias(k) for k in on], *[c for c in acc.columns if c not in on], *cols)
+    return acc
+
+
+def _hot_instants(sides: list[DataFrame], on: list[str], cell_rows: int) -> DataFrame:
+    """``on``, the operands that have rows there, and the number of parts of each, of the
+    instants where one has more than ``cell_rows`` rows."""
+    rows = reduce(lambda a, b: a.unionByName(b), [s.select(*on, F.lit(i).alias("__slot")) for i, s in enumerate(sides)])
+    # counts per operand are merged map-side: a hot instant is a few rows here
+    counts = rows.groupBy(*on, "__slot").agg(F.count(F.lit(1)).alias("n")).groupBy(*on).agg(
+        F.map_from_entries(F.collect_list(F.struct("__slot", "n"))).alias("n"), F.max("n").alias("most"))
+    n = [F.coalesce(F.col("n")[i], F.lit(0)) for i in range(len(sides))]
+    parts = F.array(*[F.greatest(F.lit(1), F.ceil(x / cell_rows)).cast("long") for x in n])
+    return written(counts.where(F.col("most") > cell_rows).select(*on, F.sort_array(F.map_keys("n")).alias(_HERE), parts.alias("__parts")), "hot-instants")
+
+
+def _met(side: DataFrame, hot: DataFrame, on: list[str], how: str) -> DataFrame:
+    """``side`` at the instants of ``hot`` (inner, with its columns) or at the others (left_anti)."""
+    other = hot.select(*[F.col(k).alias(f"__h_{k}") for k in on], _HERE, "__parts")
+    cond = reduce(lambda a, b: a & b, [side[k].eqNullSafe(other[f"__h_{k}"]) for k in on])
+    return side.join(other, cond, how)
+
+
+def _celled(side: DataFrame, i: int, hot: DataFrame, on: list[str]) -> DataFrame:
+    """The hot rows of operand ``i``, once in every cell of their part: ``on``, the operands
+    there, the cell, the value, a mark.  Parts go by the rows' numbers, which are written
+    before use, so a repeated task deals them alike."""
+    met = _met(side, hot, on, "inner").select(*on, _HERE, "__parts", slot(i), F.monotonically_increasing_id().alias(_ID))
+    met = written(met, "hot-rows")
+    own = F.col("__parts")[i]
+    below = F.aggregate(F.slice("__parts", 1, i), F.lit(1).cast("long"), lambda a, x: a * x)
+    met = met.withColumn("__own", own).withColumn("__below", below).withColumn(
+        "__others", F.expr("aggregate(__parts, 1L, (a, x) -> a * x) div __own"))
+    met = met.withColumn("__o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__others") - 1)))
+    cell = F.expr(f"__o % __below + __below * ({_ID} % __own + __own * (__o div __below))")
+    return met.select(*on, _HERE, cell.alias(_CELL), slot(i), F.lit(True).alias(f"__m{i}"))
+
+
+def align(operands: list[tuple[DataFrame, str]], keys: list[str], unique: bool, cell_rows: int = CELL_ROWS) -> DataFrame:
     if not operands:
         raise ValueError("Empty series list")
     on = [*keys, OBS_TIME]
@@ -36,12 +92,14 @@ def align(operands: list[tuple[DataFrame, str]], keys: list[str], unique: bool)
         u = reduce(lambda a, b: a.unionByName(b), parts)
         return u.groupBy(*on).agg(*[F.max(F.when(F.col("__slot") == i, F.col("__v"))).alias(slot(i))
                                     for i in range(len(operands))])
-    first_df, first_c = operands[0]
-    acc = first_df.select(*on, F.col(first_c).alias(slot(0)))
-    for i, (df, c) in enumerate(operands[1:], start=1):
-        right = df.select(*[F.col(k).alias(f"__r_{k}") for k in on], F.col(c).alias(slot(i)))
-        cond = reduce(lambda a, b: a & b, [acc[k].eqNullSafe(right[f"__r_{k}"]) for k in on])
-        acc = (acc.join(right, cond, "full")
-               .select(*[F.coalesce(acc[k], right[f"__r_{k}"]).alias(k) for k in on],
-                       *[slot(j) for j in range(i + 1)]))
-    return acc
+    sides = [df.select(*on, F.col(c).alias(slot(i))) for i, (df, c) in enumerate(operands)]
+    if len(sides) == 1:
+        return sides[0]
+    hot = _hot_instants(sides, on, cell_rows)
+    if hot.isEmpty():
+        return _fold(sides, on)
+    cold = _fold([_met(s, hot, on, "left_anti") for s in sides], on)
+    grid = _fold([_celled(s, i, hot, on) for i, s in enumerate(sides)], [*on, _HERE, _CELL])
+    for i in range(len(sides)):
+        grid = grid.where(~F.array_contains(_HERE, i) | F.col(f"__m{i}").isNotNull())
+    return cold.unionByName(grid.select(*cold.columns))

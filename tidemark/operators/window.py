@@ -42,13 +42,14 @@ rows under one key — and uses ``partition`` when times are unique and that is
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import finite
 from tidemark.model import OBS_TIME
+from tidemark.operators.align import CELL_ROWS
 from tidemark.session import scratch_folder
 
 ROLLING_AGGS = ("sma", "sum", "max", "min")
@@ -74,6 +75,7 @@ def _small(df: DataFrame, tag: str) -> DataFrame:
 class WindowPlan:
     strategy: str = "auto"
     chunk_rows: int = 1_000_000
+    cell_rows: int = CELL_ROWS  # of alignments: rows of one instant that meet in a task
 
     @classmethod
     def from_session(cls, spark: SparkSession | None = None) -> "WindowPlan":
@@ -81,7 +83,8 @@ class WindowPlan:
         if spark is None:
             return cls()
         return cls(spark.conf.get("spark.tidemark.window.strategy", "auto"),
-                   int(spark.conf.get("spark.tidemark.window.chunkRows", "1000000")))
+                   int(spark.conf.get("spark.tidemark.window.chunkRows", "1000000")),
+                   int(spark.conf.get("spark.tidemark.align.cellRows", str(CELL_ROWS))))
 
     def resolve(self, panel_df: DataFrame, keys: list[str], unique: bool = True) -> "WindowPlan":
         """Concrete strategy for a panel: ``partition`` only when its times are unique
@@ -90,9 +93,9 @@ class WindowPlan:
         if self.strategy != "auto":
             return self
         if not unique:
-            return WindowPlan("chunked", self.chunk_rows)
+            return replace(self, strategy="chunked")
         biggest = (panel_df.groupBy(*keys).count().agg(F.max("count")).collect()[0][0]) or 0
-        return WindowPlan("partition" if biggest <= self.chunk_rows else "chunked", self.chunk_rows)
+        return replace(self, strategy="partition" if biggest <= self.chunk_rows else "chunked")
 
 
 def _t_us(c: str = OBS_TIME) -> Column:

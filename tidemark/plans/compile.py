@@ -111,7 +111,7 @@ class Compiler:
             aligned = Frame(u.groupBy(*on).agg(*[F.max(c).alias(c) for c in names]), True)
             self._aligned[key] = aligned
             return aligned, [F.col(v.col) for v in vals]
-        aligned = align([(v.frame.df, v.col) for v in vals], self.keys, unique=False)
+        aligned = align([(v.frame.df, v.col) for v in vals], self.keys, unique=False, cell_rows=self.plan.cell_rows)
         return Frame(aligned, False), [F.col(slot(i)) for i in range(len(vals))]
 
     # -- node kinds -------------------------------------------------------------

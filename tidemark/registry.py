@@ -356,3 +356,25 @@ for _name, _lines, _sql in (("hot_key", lineitem_lines, LI_SQL), ("uneven", unev
     register(f"{_name}_ema_20", ema_sql(20, _sql, "l_returnflag").replace(
         "ROW_NUMBER() OVER (PARTITION BY l_returnflag ORDER BY obs_time)",
         "ROW_NUMBER() OVER (PARTITION BY l_returnflag ORDER BY obs_time, value)"))(_hot_q(_lines, "ema", 20, 2))
+
+
+# ----------------------------- duplicate times: lines of two flags, aligned ---
+# every line of one flag meets every line of the other of its day; one instant has many times
+# a day's lines of both; lines of 'A' of 1992 have no time, so those of 'R' of 1992 meet none
+PAIR_SQL = ("SELECT l_returnflag AS code, CASE WHEN l_linenumber = 7 AND l_quantity < 8 THEN TIMESTAMP '1996-02-29' "
+            "WHEN l_returnflag = 'A' AND l_shipdate < DATE '1993-01-01' THEN NULL "
+            "ELSE CAST(l_shipdate AS TIMESTAMP) END AS t, l_extendedprice AS v FROM lineitem WHERE l_returnflag IN ('A', 'R')")
+
+
+@register("aligned_duplicates",
+          f"WITH s AS ({PAIR_SQL}), a AS (SELECT t, v FROM s WHERE code = 'A'), r AS (SELECT t, v FROM s WHERE code = 'R') "
+          "SELECT COALESCE(a.t, r.t) AS obs_time, ROUND(a.v - r.v, 2) AS value FROM a FULL JOIN r ON a.t IS NOT DISTINCT FROM r.t")
+def aligned_duplicates(spark, sf):
+    """Full outer alignment of raw lines; the hot instants are dealt to a grid of cells."""
+    from tidemark.model import as_panel
+    at = F.expr("CASE WHEN l_linenumber = 7 AND l_quantity < 8 THEN TIMESTAMP_NTZ'1996-02-29 00:00:00' "
+                "WHEN l_returnflag = 'A' AND l_shipdate < DATE'1993-01-01' THEN NULL ELSE CAST(l_shipdate AS TIMESTAMP_NTZ) END")
+    lines = D.table(spark, sf, "lineitem").where(F.col("l_returnflag").isin("A", "R")).withColumn("at", at)
+    panel = as_panel(lines, [], "l_returnflag", "at", "l_extendedprice", unique=False)
+    return rounded(evaluate({"op": "subtract", "left": leaf("A"), "right": leaf("R")}, "series_math", panel,
+                            plan=WindowPlan(cell_rows=32)), 2)
