@@ -20,6 +20,7 @@ from tidemark.session import scratch_folder
 from tidemark.sinks import ledger as LG
 from tidemark.sinks import output as OUT
 from tidemark.sources import derived as D
+from tidemark.sources import manifest as M
 from tidemark.sources import series as SR
 from tidemark.streaming import requests as RQ
 
@@ -255,3 +256,16 @@ def output_manifest(spark, sf):
     OUT.write_manifest(checked.where("ok").drop("ok", "error"), paths["current"])
     current = LG.manifest_checks(spark.read.schema(manifest.schema).json(paths["current"]))
     return current.select("run_id", "metric_code", "row_count", (F.size("outputs.files") > 0).alias("has_files"), "ok")
+
+
+@register("path_parts",
+          r"WITH p AS (SELECT page_id, url, regexp_replace(url, '/+\z', '') AS n FROM pages), "
+          "b AS (SELECT *, string_split(n, '/') AS x FROM p) "
+          "SELECT page_id, CASE WHEN n LIKE '%/%' THEN left(n, length(n) - length(x[-1]) - 1) WHEN n IS NOT NULL THEN '' END AS parent, "
+          "x[-1] AS base_name, CASE WHEN x[-1] LIKE '%.%' THEN left(x[-1], length(x[-1]) - length(string_split(x[-1], '.')[-1]) - 1) "
+          "ELSE x[-1] END AS stem FROM b")
+def path_parts(spark, sf):
+    """parent, base name and stem of a path column."""
+    url = F.col("url")
+    return D.table(spark, sf, "pages").select(
+        "page_id", M.parent_path(url).alias("parent"), M.base_name(url).alias("base_name"), M.stem(url).alias("stem"))
