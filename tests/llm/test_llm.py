@@ -480,22 +480,61 @@ def test_decontamination(spark, docs, empty):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
-def test_radius_misses_no_similar_window(spark):
+def plain_leaks(data, items, width=5, percent=80):
+    """(doc, item) pairs by all windows of the items' lengths and their shingles."""
+    out = set()
+    for d, w in data:
+        for i, v in items:
+            want = collections.Counter(tuple(v[j:j + width]) for j in range(len(v) - width + 1))
+            for start in range(max(1, len(w) - len(v) + 1)):
+                x = w[start:start + len(v)]
+                have = collections.Counter(tuple(x[j:j + width]) for j in range(len(x) - width + 1))
+                both = sum(want.values()) + sum(have.values())
+                if have and 200 * sum((want & have).values()) >= percent * both:
+                    out.add((d, i))
+    return out
+
+
+def test_radius_tells_similar_from_unrelated(spark):
     rng = np.random.default_rng(4)
     vocab = [f"v{i}" for i in range(100_000)]
     items = [(i, list(rng.choice(vocab, 34 + i % 26, replace=False))) for i in range(300)]
     items = [(i, w[:-6] + ["end"] * 6 if i % 10 == 0 else w) for i, w in items]  # a word that fills the part replaced
     data = []
-    for i, w in items:  # as many words replaced at the edge as the limit allows, or left out
+    for i, w in items:  # as many words replaced at the edge as the limit allows, left out, one replaced inside, and as it is
         n = len(w) - 4
         d = min(6, n - -(-4 * n // 5))
-        data.append((2 * i, " ".join(w[:-d] + (["other"] * d if i % 10 == 0 else list(rng.choice(vocab, d))))))
-        data.append((2 * i + 1, " ".join(w[:4 + -(-2 * n // 3)])))
+        data.append((4 * i, w[:-d] + (["other"] * d if i % 10 == 0 else list(rng.choice(vocab, d)))))
+        data.append((4 * i + 1, w[:4 + -(-2 * n // 3)]))
+        data.append((4 * i + 2, ["lead"] * 7 + w[:9] + ["changed"] + w[10:] + ["tail"] * 3))
+        data.append((4 * i + 3, ["so"] + w))
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
-    got = rows(decontam.leaks(spark.createDataFrame(data, "doc_id long, text string"), bench))
-    assert {r["doc_id"] for r in got} == set(range(600)) and max(r["hamming"] for r in got) > 20
-    p = 0.205
-    assert sum(math.comb(64, i) * p**i * (1 - p) ** (64 - i) for i in range(decontam.RADIUS + 1, 65)) < 1e-9
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in data], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in rows(decontam.leaks(docs, bench))}
+    want = {(d, i) for d, w in data for d, i in plain_leaks([(d, w)], [items[d // 4]])}
+    assert len(want) >= 1100 and got <= want and len(got) >= 0.99 * len(want)
+    assert {d for d, _ in want - got} <= {4 * i + k for i in range(300) for k in (0, 1)}  # at the limit only
+    miss = lambda p: sum(math.comb(64, i) * p**i * (1 - p) ** (64 - i) for i in range(decontam.RADIUS + 1, 65))
+    assert miss(0.205) < 0.005 and 1 - miss(0.5) < 0.01
+    keys = spark.createDataFrame([(str(i), [str(x) for x in rng.choice(vocab, 40)]) for i in range(2000)], "win string, words array<string>")
+    prints = [r["fp"] for r in rows(decontam.fingerprints(keys, "win"))]
+    near = sum(bin((a ^ b) & (2**64 - 1)).count("1") <= decontam.RADIUS for a, b in zip(prints[::2], prints[1::2]))
+    assert len(prints) == 2000 and near < 0.02 * 1000
+    pairs = keys.select("win", F.col("win").alias("item")).withColumn("item", F.expr("CAST(1999 - CAST(item AS INT) AS STRING)"))
+    found = decontam.near_prints(pairs, keys, keys.withColumnRenamed("win", "item"), decontam.RADIUS)
+    by = dict(zip([r["win"] for r in rows(decontam.fingerprints(keys, "win"))], prints))
+    assert {r["win"] for r in rows(found)} == {k for k in by if bin((by[k] ^ by[str(1999 - int(k))]) & (2**64 - 1)).count("1") <= decontam.RADIUS}
+
+
+def test_items_without_an_id_and_with_string_ids(spark):
+    leak = [" ".join(f"leak{i}x{j}" for j in range(30)) for i in range(3)]
+    bench = spark.createDataFrame([(None, leak[0]), ("b", leak[1]), ("a", leak[1]), (None, leak[1]), ("c", None)], "item_id string, text string")
+    data = [(1, "so " + leak[0]), (2, leak[1] + " too"), (3, leak[2]), (4, leak[0] + " " + leak[1]), (None, leak[1]), (None, "clean"),
+            (5, "la " * 30_000 + leak[0])]
+    got = rows(decontam.decontaminate(spark.createDataFrame(data, "doc_id long, text string"), bench))
+    assert sorted((str(r["doc_id"]), r["kept"], r["item_id"], r["similarity"]) for r in got if r["doc_id"] != 1 and r["doc_id"] != 5) == [
+        ("2", False, "a", 1.0), ("3", True, None, None), ("4", False, "a", 1.0), ("None", False, "a", 1.0), ("None", False, "a", 1.0)]
+    assert [(r["kept"], r["item_id"], r["similarity"]) for r in got if r["doc_id"] in (1, 5)] == [(False, None, 1.0)] * 2
 
 
 # -------------------------------------------------------------- pipeline ---

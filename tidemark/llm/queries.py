@@ -147,22 +147,25 @@ def op9(spark, sf):
 
 
 OP10_SQL = r"""
-WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{Nd}]+'), lambda x: x <> '') AS w FROM documents),
-b AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{Nd}]+'), lambda x: x <> '') AS w FROM benchmark),
-dg AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
-bg AS (SELECT item_id, i, len(w) AS n, array_to_string(w[i:i + 4], ' ') AS g
-  FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM b WHERE len(w) >= 5)),
-hit AS (SELECT DISTINCT dg.doc_id, item_id, n, greatest(0, least(dg.i - bg.i, len(d.w) - n)) AS start
-  FROM dg JOIN bg ON dg.g = bg.g JOIN d ON d.doc_id = dg.doc_id),
-win AS (SELECT hit.*, least(n, len(d.w)) AS m, d.w[start + 1:start + n] AS w FROM hit JOIN d USING (doc_id)),
-wg AS (SELECT doc_id, item_id, start, g, count(*) AS c
-  FROM (SELECT doc_id, item_id, start, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT *, unnest(range(1, m - 3)) AS i FROM win WHERE m >= 5)) GROUP BY ALL),
-ig AS (SELECT item_id, g, count(*) AS c FROM bg GROUP BY ALL),
-com AS (SELECT doc_id, item_id, start, sum(least(wg.c, ig.c)) AS common FROM wg JOIN ig USING (item_id, g) GROUP BY ALL),
-sim AS (SELECT doc_id, item_id, CAST(common AS BIGINT) AS common, (m - 4) + (n - 4) AS total FROM com JOIN win USING (doc_id, item_id, start)),
-leak AS (SELECT doc_id, item_id, CAST(common * 2 AS DOUBLE) / total AS similarity FROM sim WHERE common * 200 >= total * 80),
-top AS (SELECT doc_id, similarity, item_id FROM leak QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY similarity DESC, item_id) = 1)
-SELECT documents.doc_id, similarity IS NULL AS kept, item_id, similarity FROM documents LEFT JOIN top USING (doc_id)"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id,
+    list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{Nd}]+'), lambda x: x <> '') AS w FROM documents),
+bw AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{Nd}]+'), lambda x: x <> '') AS w FROM benchmark),
+b AS MATERIALIZED (SELECT row_number() OVER () AS k, item_id, w FROM (SELECT min(item_id) AS item_id, w FROM bw WHERE len(w) >= 5 GROUP BY w)),
+dg AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+bg AS (SELECT k, i, len(w) AS n, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT k, w, unnest(range(1, len(w) - 3)) AS i FROM b)),
+hit AS (SELECT DISTINCT dg.r, k, n, greatest(0, least(dg.i - bg.i, len(d.w) - n)) AS start
+  FROM dg JOIN bg ON dg.g = bg.g JOIN d ON d.r = dg.r),
+win AS (SELECT hit.*, least(n, len(d.w)) AS m, d.w[start + 1:start + n] AS w FROM hit JOIN d USING (r)),
+wg AS (SELECT r, k, start, g, count(*) AS c
+  FROM (SELECT r, k, start, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT *, unnest(range(1, m - 3)) AS i FROM win WHERE m >= 5)) GROUP BY ALL),
+ig AS (SELECT k, g, count(*) AS c FROM bg GROUP BY ALL),
+com AS (SELECT r, k, start, sum(least(wg.c, ig.c)) AS common FROM wg JOIN ig USING (k, g) GROUP BY ALL),
+sim AS (SELECT r, k, CAST(common AS BIGINT) AS common, (m - 4) + (n - 4) AS total FROM com JOIN win USING (r, k, start)),
+leak AS (SELECT doc_id, item_id, CAST(common * 2 AS DOUBLE) / total AS similarity
+  FROM sim JOIN d USING (r) JOIN b USING (k) WHERE common * 200 >= total * 80),
+top AS (SELECT doc_id, similarity, item_id FROM leak
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY similarity DESC, item_id NULLS LAST) = 1)
+SELECT documents.doc_id, similarity IS NULL AS kept, item_id, similarity FROM documents LEFT JOIN top ON documents.doc_id IS NOT DISTINCT FROM top.doc_id"""
 
 
 @register("op10_decontamination", OP10_SQL)
