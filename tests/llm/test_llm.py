@@ -441,23 +441,66 @@ def test_sharding(docs, empty):
     assert rows(shards.shard(empty, 4, ["doc_id"])) == []
 
 
-def test_packing_equals_plain_best_fit():
-    rng = np.random.default_rng(1)
-    items = [(int(rng.integers(1, 400)), f"i{i}") for i in range(700)]
-    rooms, want = [], []
-    for size, name in sorted(items, key=lambda x: (-x[0], x[1])):
+def plain_best_fit(sizes, capacity):
+    """Bin of each group, the groups entering one by one by falling size."""
+    rooms, bins = [], []
+    for size in sorted(sizes, reverse=True):
         fits = [(room, b) for b, room in enumerate(rooms) if room >= size]
         b = min(fits)[1] if fits else len(rooms)
         if not fits:
-            rooms.append(1000)
+            rooms.append(max(capacity, size))
         rooms[b] -= size
-        want.append((name, b))
-    assert shards.best_fit_decreasing(items, 1000) == want
+        bins.append(b)
+    return bins
+
+
+def test_packing_equals_plain_best_fit():
+    rng = np.random.default_rng(1)
+    for sizes, capacity in [(rng.integers(1, 400, 700), 1000), (rng.integers(1, 12, 900), 31), ([5000, 1000, 1000] + [7] * 500, 300)]:
+        sizes = [int(x) for x in sizes]
+        got = shards.best_fit_decreasing(list(collections.Counter(sizes).items()), capacity)
+        assert [b for _, taken in got for b, n in taken for _ in range(n)] == plain_best_fit(sizes, capacity)
+    sizes = [int(x) for x in rng.integers(1, 400, 700)]
+    runs = list(collections.Counter(sizes).items())
     load = collections.Counter()
-    sizes = {n: s for s, n in items}
-    for name, b in shards.pack_into(items, 40):
-        load[b] += sizes[name]
+    for size, taken in shards.pack_into(runs, 40):
+        for b, n in taken:
+            load[b] += size * n
     assert len(load) == 40 and max(load.values()) - min(load.values()) < 0.02 * max(load.values())
+    assert shards.best_fit_decreasing(runs, max(load.values()) - 1, 40) is None or max(load.values()) <= sum(sizes) // 40 + 1
+    load = collections.Counter()  # two groups above a mean shard: the others still fill theirs evenly
+    for size, taken in shards.pack_into(runs + [(60_000, 1), (9000, 1)], 40):
+        for b, n in taken:
+            load[b] += size * n
+    rest = sorted(load.values())[:-2]
+    assert len(rest) == 38 and max(rest) - min(rest) < 0.02 * max(rest)
+    assert shards.pack_into([], 4) == []
+
+
+def test_every_group_enters_best_fit(spark):
+    rng = np.random.default_rng(6)
+    texts = [("t" + str(i)).ljust(int(n), "x") for i, n in enumerate(rng.integers(6, 60, 600))]
+    data = [(None, "hot group")] * 300 + [(i % 50, t) for i, t in enumerate(texts)] + [(7, texts[i]) for i in range(0, 600, 9)]
+    got = rows(shards.shard(spark.createDataFrame(data, "doc_id long, text string").repartition(5), 7, ["doc_id", "text"]).select(
+        "doc.doc_id", "doc.text", "size", "shard", "slot"))
+    assert collections.Counter((r["doc_id"], r["text"]) for r in got) == collections.Counter(data)
+    where, load, slots = collections.defaultdict(set), collections.Counter(), collections.defaultdict(list)
+    for r in got:
+        where[r["text"]].add(r["shard"])
+        load[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert all(len(x) == 1 for x in where.values()) and all(sorted(x) == list(range(len(x))) for x in slots.values())
+    group = collections.Counter()
+    for _, t in data:
+        group[t] += len(t) + 16
+    sizes = sorted(group.values(), reverse=True)
+    # the hot group is larger than a mean shard, so the capacity starts at the mean of the others
+    assert sizes[0] > sum(sizes) / 7
+    capacity = next(c for c in range(-(-sum(sizes[1:]) // 6), sum(sizes)) if max(plain_best_fit(sizes, c)) < 7)
+    want = collections.Counter()
+    for size, b in zip(sizes, plain_best_fit(sizes, capacity)):
+        want[b] += size
+    assert want == load
 
 
 # -------------------------------------------------------------- decontam ---

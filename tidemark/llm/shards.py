@@ -1,17 +1,23 @@
 r"""Sharding (operator 9): best-fit-decreasing bin packing of indivisible groups.
 
-Groups are equal texts (null counts as empty).  Best fit decreasing is sequential,
-so what it sorts must be bounded: groups below 1 / ``grain`` of a shard are first
-gathered into bundles by their digest (64 a shard), larger ones stay alone.
-There can be at most shards * (grain + 64) such items, whatever the input.  They
-enter, by falling size, the shard with the least remaining capacity that still
-takes them, found in a balanced search tree; the capacity is the smallest, by
-bisection, for which the given number of shards is enough.  A group larger than
-the capacity gets a shard of its own as far as they last, then the emptiest.
-
-Slots number a shard's rows without gaps: rows are numbered inside (item, part),
-where parts split an item by the row's hash, and the counts of those add up to
-offsets; neither a shard nor a hot group meets in one task.
+Groups are equal texts (null counts as empty); all of them are packed, whatever their
+size.  By falling size they enter the shard with the least remaining capacity that still
+takes them, found in a balanced search tree.  Groups of equal size are interchangeable
+and, as the tightest shard stays the tightest, fill one shard after another: a run
+(size, number of groups) is placed by divisions, and the driver holds only the distinct
+sizes.  Their sum is below the input's bytes, so there are at most its square root times
+1.5 of them; in practice they end near the longest text.  Spark gives each group its
+shard by its rank inside its size.
+
+The capacity is the smallest, found by doubling steps and bisection, for which the given
+number of shards is enough.  It starts at the mean of what is left without the groups
+that are larger than such a mean: those get a shard of their own each.
+
+Slots number a shard's rows without gaps: rows get a stored number, are numbered inside
+(shard, part), where parts split a shard by that number, and the counts of the parts add
+up to offsets.  Groups above 1 / ``GRAIN`` of a mean shard (shards * GRAIN at most) meet
+their rows by broadcast, the others by a shuffled join; ranks are taken inside (size,
+bucket of the digest).  So no shard, hot group or hot size meets in one task.
 
 Defined results: a null text has no bytes; rows that repeat are equal texts; null
 doc_ids are numbered like others; an empty table gives an empty result; columns
@@ -21,6 +27,7 @@ besides doc_id and text are carried only by ``carry`` in one struct.
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,9 +35,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import stored
 
 OVERHEAD = 16
-BUNDLES = 64
 GRAIN = 256
-PARTS = 32
+PARTS = 1024
+BUCKETS = 256
 
 
 class CapacityTree:
@@ -66,62 +73,90 @@ class CapacityTree:
         return key
 
 
-def best_fit_decreasing(items: list[tuple[int, str]], capacity: int) -> list[tuple[str, int]]:
-    """(name, bin) of every item; bins are opened as needed and numbered from 0.
-    An item above the capacity gets a bin of its own."""
-    tree, placed, bins = CapacityTree(), [], 0
-    for size, name in sorted(items, key=lambda x: (-x[0], x[1])):
-        found = tree.take_tightest(size)
-        room, bin_ = found if found else (max(capacity, size), bins)
-        bins += found is None
-        placed.append((name, bin_))
-        tree.add(room - size, bin_)
+def best_fit_decreasing(runs: list[tuple[int, int]], capacity: int, bins: int | None = None) -> list[tuple[int, list[tuple[int, int]]]] | None:
+    """Of runs (size, number of equal groups): (size, [(bin, groups that it takes), ...]),
+    as if the groups entered one by one.  Bins are opened as needed and numbered from 0; None
+    if more than ``bins`` are needed.  A group above the capacity gets a bin of its own."""
+    tree, placed, opened = CapacityTree(), [], 0
+    for size, left in sorted(runs, reverse=True):
+        taken = []
+        while left:
+            found = tree.take_tightest(size)
+            if found is None and opened == bins:
+                return None
+            room, bin_ = found or (max(capacity, size), opened)
+            opened += found is None
+            n = min(left, room // size)
+            tree.add(room - n * size, bin_)
+            taken.append((bin_, n))
+            left -= n
+        placed.append((size, taken))
     return placed
 
 
-def pack_into(items: list[tuple[int, str]], shards: int) -> list[tuple[str, int]]:
+def mean_room(runs: list[tuple[int, int]], shards: int) -> int:
+    """What each shard holds on average, without groups larger than that (and their shards)."""
+    rest = sum(size * n for size, n in runs)
+    for size, n in sorted(runs, reverse=True):
+        while n and shards > 1 and size * shards > rest:
+            rest, shards, n = rest - size, shards - 1, n - 1
+        if n:
+            break
+    return -(-rest // shards)
+
+
+def pack_into(runs: list[tuple[int, int]], shards: int) -> list[tuple[int, list[tuple[int, int]]]]:
     """Best fit decreasing at the smallest capacity that needs ``shards`` bins at most."""
-    if not items:
-        return []
-    sizes = dict((name, size) for size, name in items)
-    low, high = -(-sum(sizes.values()) // shards), sum(sizes.values())
-    best = best_fit_decreasing(items, high)
-    while low < high:
-        mid = (low + high) // 2
-        tried = best_fit_decreasing(items, mid)
-        if max(b for _, b in tried) < shards:
-            best, high = tried, mid
-        else:
+    low = capacity = mean_room(runs, shards)
+    step = 1
+    while (best := best_fit_decreasing(runs, capacity, shards)) is None:
+        low, capacity, step = capacity + 1, capacity + step, step * 2
+    while low < capacity:
+        mid = (low + capacity) // 2
+        tried = best_fit_decreasing(runs, mid, shards)
+        if tried is None:
             low = mid + 1
+        else:
+            best, capacity = tried, mid
     return best
 
 
+def place_groups(groups: DataFrame, shards: int) -> DataFrame:
+    """digest, bytes, shard of the written ``groups`` (digest, bytes)."""
+    runs = [(r["bytes"], r["n"]) for r in groups.groupBy("bytes").agg(F.count(F.lit(1)).alias("n")).collect()]
+    plan = []
+    for size, taken in pack_into(runs, shards):
+        ends = accumulate(n for _, n in taken)
+        plan.append((size, [(end, bin_) for end, (bin_, _) in zip(ends, taken)]))
+    plan = stored(groups.sparkSession.createDataFrame(plan, "bytes long, cuts array<struct<upto: long, shard: int>>"), "shard-plan")
+    groups = groups.withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(BUCKETS)).cast("int"))
+    counts = groups.groupBy("bytes", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("bytes").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    offsets = counts.select("bytes", "bucket", before.alias("before")).join(plan, "bytes")
+    rank = F.row_number().over(Window.partitionBy("bytes", "bucket").orderBy("digest")) - 1
+    ranked = groups.withColumn("at", rank).join(offsets, ["bytes", "bucket"])
+    cut = F.get(F.filter("cuts", lambda c: c["upto"] > F.col("before") + F.col("at")), F.lit(0))
+    return ranked.select("digest", "bytes", cut["shard"].alias("shard"))
+
+
 def shard(docs: DataFrame, shards: int, carry: list[str]) -> DataFrame:
     """doc (struct of the ``carry`` columns), size, crc (of the text), shard (0 to
     ``shards`` - 1), slot (gapless from 0 in its shard)."""
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.struct(*carry).alias("doc"), F.col("doc_id").alias("id"), F.sha2(text, 256).alias("digest"),
-                       (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(text).alias("crc"))
-    if "text" not in carry:
-        rows = stored(rows, "shard-rows")
-    groups = stored(rows.groupBy("digest").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")), "shard-groups")
+    rows = stored(docs.select(F.struct(*carry).alias("doc"), F.monotonically_increasing_id().alias("row"), F.sha2(text, 256).alias("digest"),
+                              (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(text).alias("crc")), "shard-rows")
+    groups = stored(rows.groupBy("digest").agg(F.sum("size").alias("bytes")), "shard-groups")
     total = groups.agg(F.sum("bytes")).first()[0] or 0
-    alone = total // (shards * GRAIN)
-    bundle = F.concat(F.lit("b"), F.pmod(F.xxhash64("digest"), F.lit(shards * BUNDLES)).cast("string"))
-    groups = groups.withColumn("item", F.when(F.col("bytes") > alone, F.col("digest")).otherwise(bundle))
-    # at most shards * (GRAIN + BUNDLES) rows, see above
-    items = [(r["bytes"], r["item"]) for r in groups.groupBy("item").agg(F.sum("bytes").alias("bytes")).collect()]
-    spark = docs.sparkSession
-    plan = stored(spark.createDataFrame(pack_into(items, shards), "item string, shard int"), "shard-plan")
-    large = plan.where(F.length("item") == 64)
-    rows = (rows.join(F.broadcast(large.select(F.col("item").alias("digest"), F.col("shard").alias("own"))), "digest", "left")
-            .withColumn("item", F.when(F.col("own").isNotNull(), F.col("digest")).otherwise(bundle))
-            .join(F.broadcast(plan), "item")
-            .withColumn("part", F.pmod(F.xxhash64("id", "digest"), F.lit(PARTS)).cast("int")))
-    counts = stored(rows.groupBy("shard", "item", "part").agg(F.count(F.lit(1)).alias("n")), "shard-counts")
-    offsets = counts.select("item", "part", (F.sum("n").over(
-        Window.partitionBy("shard").orderBy("item", "part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("offset"))
-    number = F.row_number().over(Window.partitionBy("item", "part").orderBy("id", "digest")) - 1
-    # the rows are dealt by (item, part) already, so this join moves only the offsets
-    return rows.withColumn("at", number).join(offsets, ["item", "part"]).select(
-        "doc", "size", "crc", "shard", (F.col("offset") + F.col("at")).cast("long").alias("slot"))
+    placed = stored(place_groups(groups, shards), "shard-groups-placed")
+    large = F.col("bytes") > total // (shards * GRAIN)  # at most shards * GRAIN groups
+    hot = F.broadcast(placed.where(large).select("digest", "shard"))
+    light = rows.select("row", "digest")
+    cold = light.join(hot, "digest", "left_anti").join(placed.where(~large).select("digest", "shard"), "digest")
+    dealt = light.join(hot, "digest").unionByName(cold).select("row", "shard", F.pmod(F.xxhash64("row"), F.lit(PARTS)).cast("int").alias("part"))
+    dealt = stored(dealt, "shard-dealt")
+    counts = dealt.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))
+    offset = F.sum("n").over(Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    number = F.row_number().over(Window.partitionBy("shard", "part").orderBy("row")) - 1
+    slots = dealt.withColumn("at", number).join(counts.select("shard", "part", offset.alias("offset")), ["shard", "part"])
+    return rows.join(slots.select("row", "shard", (F.col("offset") + F.col("at")).cast("long").alias("slot")), "row").select(
+        "doc", "size", "crc", "shard", "slot")
