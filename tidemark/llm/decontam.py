@@ -15,7 +15,7 @@ hold c + 4 common words, so a bit differs with probability 0.205 at most (0.202
 of 5 to 120 words) and 0.3 % of the windows right at the limit are missed; windows with
 fewer edits are missed less, equal ones never.  Blocks of 64 bits alone can't find such
 candidates at scale (of 23 blocks with 2 or 3 bits, unrelated pairs share one with
-probability 0.97: all windows would meet all items), so they are tied to a shared shingle.
+probability 0.98: all windows would meet all items), so they are tied to a shared shingle.
 
 The benchmark's shingles are broadcast, ``slice_grams`` at most: a larger benchmark
 is searched in several slices.  Documents are read once a slice and only the few
