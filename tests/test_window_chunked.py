@@ -98,6 +98,18 @@ def test_buckets_are_even(spark, when):
     assert len(out) == 5000 and sum(r["before"] is None for r in out) == 1
 
 
+def test_small_buckets_share_tasks(spark):
+    """Dealing takes tasks by rows, not by buckets, so what the driver gets doesn't grow with the buckets."""
+    rows = [(datetime(2024, 1, 1) + timedelta(hours=i % 700), float(i * 7919 % 5000), "ab"[i % 5 == 0]) for i in range(5000)]
+    df = spark.createDataFrame(rows, "obs_time timestamp_ntz, v double, k string")
+    dealt = W._dealt(df, ["k"], WindowPlan("chunked", 10), W._order("v"))
+    assert len(dealt.inputFiles()) <= spark.sparkContext.defaultParallelism
+    sizes = [r["count"] for r in dealt.groupBy("__b").count().collect()]
+    assert sum(sizes) == 5000 and max(sizes) <= 10
+    got = [(r["k"], r["obs_time"], r["v"]) for r in dealt.orderBy("__b", "__p").collect()]
+    assert got == sorted((k, t, v) for t, v, k in rows)
+
+
 @pytest.mark.parametrize("plan", [WindowPlan("chunked", 50), WindowPlan("partition")], ids=["chunk50", "partition"])
 def test_long_windows_equal_pandas(spark, panel_data, monkeypatch, plan):
     """Block heads and tails in place of frames; no value is lost beside much larger ones."""
