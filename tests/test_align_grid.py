@@ -55,3 +55,27 @@ def test_empty_sides(spark):
     assert A.align(frames(spark, none), ["k"], unique=False, cell_rows=1).collect() == []
     half = [[("a", day(0), 1.0)] * 5, []]
     assert len(A.align(frames(spark, half), ["k"], unique=False, cell_rows=1).collect()) == 5
+
+
+def test_copies_of_hot_rows_are_bounded(spark):
+    """What is dealt to cells follows the rows, not the pairs: few parts, values in blocks."""
+    on, copied = ["k", "obs_time"], []
+    for n in (1000, 4000):
+        sides = [[("a", day(0), float(j)) for j in range(n)], [("a", day(0), None if j % 5 == 0 else float(j)) for j in range(n // 2)]]
+        ops = [df.select("k", "obs_time", F.col("v").alias(A.slot(i))) for i, (df, _) in enumerate(frames(spark, sides))]
+        hot = A._hot_instants(ops, on, 2)
+        assert hot.count() == 1 and np.prod(hot.first()["__parts"]) <= A.GRID_CELLS
+        copied.append(sum(A._celled(df, i, hot, on).count() for i, df in enumerate(ops)))
+        blocks = A._celled_blocks(ops[0], 0, 2, hot, on).select(F.size(A.slot(0)).alias("n"), A._CELL).collect()
+        assert len(blocks) < sum(r["n"] for r in blocks) / 8
+    assert copied[0] <= 1500 * 6 and copied[1] <= 4 * copied[0]
+
+
+def test_grid_of_many_blocks(spark, monkeypatch):
+    """Several blocks a part, in several cells, of three operands with an absent one."""
+    monkeypatch.setattr(A, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(A, "BLOCK_PAIRS", 12)
+    sides = [[("a", day(0), float(j % 7) if j % 3 else None) for j in range(40)] + [("b", None, 1.0)] * 8,
+             [("a", day(0), float(j % 4)) for j in range(25)], [("a", day(0), float(j)) for j in range(6)] + [(None, day(1), 2.0)] * 9]
+    got = A.align(frames(spark, sides), ["k"], unique=False, cell_rows=5)
+    assert collections.Counter(tuple(r) for r in got.collect()) == plain(sides)
