@@ -79,3 +79,12 @@ def test_grid_of_many_blocks(spark, monkeypatch):
              [("a", day(0), float(j % 4)) for j in range(25)], [("a", day(0), float(j)) for j in range(6)] + [(None, day(1), 2.0)] * 9]
     got = A.align(frames(spark, sides), ["k"], unique=False, cell_rows=5)
     assert collections.Counter(tuple(r) for r in got.collect()) == plain(sides)
+
+
+def test_large_products_of_few_rows_are_spread_over_tasks(spark):
+    """Instants below ``cell_rows`` rows that give many: the rows that meet are small enough for
+    one task, what they give is not."""
+    sides = [[("a", day(d), float(j)) for d in range(12) for j in range(550)] for _ in range(2)]
+    out = A.align(frames(spark, sides), ["k"], unique=False)
+    rows = out.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+    assert sum(r["n"] for r in rows) == 12 * 550 * 550 and len(rows) > 1
