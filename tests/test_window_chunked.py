@@ -4,10 +4,12 @@ with one hot key, gaps, nulls and infinities, cut into many small chunks."""
 import math
 from datetime import datetime, timedelta
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
 
+from tidemark import registry
 from tidemark.model import as_panel
 from pyspark.sql import functions as F
 
@@ -110,6 +112,39 @@ def test_small_buckets_share_tasks(spark):
     assert got == sorted((k, t, v) for t, v, k in rows)
 
 
+@pytest.fixture(scope="module")
+def lines_dir(tmp_path_factory):
+    """2,000 order lines, most of one flag, many of one day or of equal price."""
+    sf = tmp_path_factory.mktemp("lines")
+    i = np.arange(2000)
+    pd.DataFrame({"l_orderkey": i // 5, "l_linenumber": i % 5 + 1, "l_returnflag": np.where(i % 9 < 6, "N", np.where(i % 2, "A", "R")),
+                  "l_shipdate": np.datetime64("1994-01-01", "us") + (i * 7919 % 300).astype("timedelta64[D]"),
+                  "l_extendedprice": (i * 104729 % 1500) / 4}).to_parquet(sf / "lineitem.parquet")
+    return str(sf)
+
+
+@pytest.mark.parametrize("name", ["hot_key_lag_7"])
+def test_driver_gets_results_by_tasks_not_by_buckets(spark, lines_dir, monkeypatch, name):
+    """Rows cut into 125 buckets or more are dealt by a few tasks, with the rows of the SQL."""
+    files, small = [], W._small
+
+    def counted(df, tag):
+        out = small(df, tag)
+        if tag == "buckets":
+            files.append(len(out.inputFiles()))
+        return out
+    monkeypatch.setattr(W, "_small", counted)
+    monkeypatch.setattr(registry, "HOT_CHUNK", WindowPlan("chunked", 16))
+    df = registry.QUERIES[name](spark, lines_dir)
+    assert files and max(files) <= spark.sparkContext.defaultParallelism
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{lines_dir}/lineitem.parquet')")
+    want = con.execute(registry.ORACLE[name])
+    assert df.columns == [c[0] for c in want.description]
+    by = lambda r: (r[0], r[1], r[2] is None, r[2])
+    assert sorted((tuple(r) for r in df.collect()), key=by) == sorted(want.fetchall(), key=by)
+
+
 @pytest.mark.parametrize("plan", [WindowPlan("chunked", 50), WindowPlan("partition")], ids=["chunk50", "partition"])
 def test_long_windows_equal_pandas(spark, panel_data, monkeypatch, plan):
     """Block heads and tails in place of frames; no value is lost beside much larger ones."""
