@@ -123,7 +123,8 @@ def lines_dir(tmp_path_factory):
     return str(sf)
 
 
-@pytest.mark.parametrize("name", ["hot_key_lag_7", "uneven_shift_3", "uneven_sum_30", "hot_key_shift_3"])
+@pytest.mark.parametrize("name", ["hot_key_lag_7", "uneven_shift_3", "uneven_sum_30", "hot_key_shift_3",
+                                  "hot_key_sum_30"])
 def test_driver_gets_results_by_tasks_not_by_buckets(spark, lines_dir, monkeypatch, name):
     """Rows cut into 125 buckets or more are dealt by a few tasks, with the rows of the SQL."""
     files, small = [], W._small
