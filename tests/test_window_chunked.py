@@ -124,7 +124,7 @@ def lines_dir(tmp_path_factory):
 
 
 @pytest.mark.parametrize("name", ["hot_key_lag_7", "uneven_shift_3", "uneven_sum_30", "hot_key_shift_3",
-                                  "hot_key_sum_30", "uneven_max_100", "hot_key_max_100"])
+                                  "hot_key_sum_30", "uneven_max_100", "hot_key_max_100", "uneven_ema_20"])
 def test_driver_gets_results_by_tasks_not_by_buckets(spark, lines_dir, monkeypatch, name):
     """Rows cut into 125 buckets or more are dealt by a few tasks, with the rows of the SQL."""
     files, small = [], W._small
